@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import fingerprints, langid, packing, secrets, warc
+from lodestone.llm import extract, fingerprints, langid, mixing, ngram_join, packing, secrets, warc
 from lodestone.llm._common import table
 
 
@@ -18,6 +18,19 @@ def tokenizer_files() -> dict[str, str]:
     return {"json_file": P.path("byte_bpe_50k.json"), "ranks_file": P.path("byte_bpe_50k.tiktoken"), "pattern": P.PATTERN}
 
 
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("uri"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     own = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).cast("long")
@@ -43,7 +56,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_extract, op3_mixing, op4_ngram_join, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
 
 
 #: DuckDB's statement of an operator's whole result, where SQL can express it.
@@ -58,5 +71,20 @@ ORACLE = {
 }
 
 
+ORACLE["op4_ngram_join"] = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r(node, reach) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.node, e.y FROM r JOIN e ON e.x = r.reach)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+    FROM (SELECT node AS doc_id, min(reach) AS c FROM r GROUP BY node) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

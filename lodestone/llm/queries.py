@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import extract, fingerprints, langid, mixing, ngram_join, packing, secrets, warc
+from lodestone.llm import embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, warc
 from lodestone.llm._common import table
 
 
@@ -22,6 +22,10 @@ def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -56,7 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract, op3_mixing, op4_ngram_join, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
 
 
 #: DuckDB's statement of an operator's whole result, where SQL can express it.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, warc
+from lodestone.llm import embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, suffix_dedup, warc
 from lodestone.llm._common import table
 
 
@@ -35,6 +35,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("uri"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     own = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).cast("long")
@@ -60,7 +64,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op5_suffix_dedup, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
 
 
 #: DuckDB's statement of an operator's whole result, where SQL can express it.

@@ -27,9 +27,15 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
+def _load() -> None:
+    import lodestone.plans  # noqa: F401  (registers every query)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return {k: f for k, (f, _) in CATALOG.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return {k: s for k, (_, s) in CATALOG.items() if s}

@@ -1 +1,7 @@
+"""Queries on the driver's tables; importing the package registers all of them."""
 
+import importlib
+import pkgutil
+
+for _module in pkgutil.iter_modules(__path__):
+    importlib.import_module(f"{__name__}.{_module.name}")

@@ -37,6 +37,8 @@ WORDS, SIMILARITY_PERCENT, OCCURRENCES = 5, 75, 8
 #: Lists of at least LONG documents are long; at most LONG_LISTS of them (the longest) are told to all tasks.
 LONG, LONG_LISTS, BROADCAST_IDS = 24, 1_000_000, 4_000_000
 CHUNK = 4_000_000
+#: Searches against leaders before all remaining pairs; any number gives the same components.
+TURNS = 2
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -317,7 +319,7 @@ def _links(docs: DataFrame, heads: DataFrame, long_lists: tuple[np.ndarray, np.n
         return empty
     sets = stored(_sets(docs, stored(ids, "ids"), n_ids), "sets")
     links, known = empty, None
-    for turn in range(8):
+    for turn in range(TURNS):
         labelled = live.withColumn("comp", F.col("doc")) if known is None else live.join(known, live["doc"] == known["node"], "left").select("list", "doc", "n", F.coalesce("component", "doc").alias("comp"))
         # The leader of a list differs by turn; each document meets whoever leads most of its lists.
         lead = labelled.groupBy("list").agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc"), F.col("doc").alias("d"), F.col("comp").alias("c"), F.col("n").alias("m"))).alias("lead"), F.max("comp").alias("high"), F.min("comp").alias("low")).filter("low <> high")

@@ -1,0 +1,191 @@
+"""Secrets, WARC, extraction, fingerprints, packing and language ID on small fixtures, against plain Python."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from lodestone.llm import extract, fingerprints, langid, packing, secrets, warc
+from lodestone.llm.queries import tokenizer_files
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randrange(50)) for _ in range(n))
+
+
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+KEY = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("", []),
+        ('token = "' + KEY + '"', [(0, 49, "assign"), (9, 49, "hex")]),
+        ("TOKEN: abc", []),
+        ("secret:token:abcdef", []),  # the failing match takes its text with it
+        ("my_api_key='abcdef'", [(3, 18, "assign")]),
+        ("AKIA" + "A" * 16, [(0, 20, "access")]),
+        ("AKIA" + "A" * 15, []),
+        ("é " + "ab" * 12, [(2, 26, "hex")]),
+        ("paſſword=abcdef", []),  # other cases of s aren't letters of the pattern
+    ],
+)
+def test_base_spans(text, wanted):
+    assert secrets.base_spans(text) == wanted
+
+
+def test_novelty_tells_keys_from_names():
+    assert secrets.novelty(b"the token is ", b"q8ZkP2vXw93LmTbY7cRd", b"") > secrets.LEAST_NOVELTY > secrets.novelty(b"the user_name_value_table ", b"user_name_value_table", b"")
+    text = "the private key q8ZkP2vXw93LmTbY7cRd is here"
+    assert [s[2] for s in secrets.all_spans(text)[1]] == ["novel"]
+    assert secrets.all_spans("the private key camelCaseIdentifier is here")[1] == []
+
+
+def test_secret_scan_rows(spark):
+    rows = [(1, "token = abcdef1", "x", 7), (2, None, "x", 7), (3, "", None, 7), (None, "plain words", "x", 7), (1, "token = abcdef1", "x", 7)]
+    docs = frame(spark, rows, "doc_id long, text string, spans string, n_hex int")
+    got = secrets.scan_secrets(docs).collect()
+    assert len(got) == 5 and sorted(r.n_assign for r in got) == [0, 0, 0, 1, 1]
+    assert {r.base_sha256 for r in got if not r.n_assign} == {hashlib.sha256(b"").hexdigest()}
+    masked = secrets.mask_secrets(frame(spark, [(1, "a token = abcdef1 b", 19), (2, None, None)], "doc_id long, text string, n_chars long")).orderBy("doc_id").collect()
+    assert [tuple(r) for r in masked] == [(1, "a [SECRET] b", 12), (2, None, None)]
+    assert secrets.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_warc_round_trip(spark):
+    big, same = ("é" * 40_000 + "\r\n\r\nWARC/1.1\r\n") * 2, "x" * 1500
+    rows = [(1, "http://a/1", big), (2, "http://a/2", same), (3, None, same), (4, "http://a b/ü", "short"), (5, "", "short"), (6, "u", ""), (7, "u", same)]
+    pages = frame(spark, [(a, b, bytearray(c.encode())) for a, b, c in rows], "id long, uri string, payload binary")
+    got = {r.record_id: r for r in warc.round_trip(pages).collect()}
+    assert len(got) == 7
+    for i, _, text in rows:
+        r = got[f"<urn:page:{i}>"]
+        assert r.problem is None and r.payload_digest == hashlib.sha1(text.encode()).hexdigest() and r.payload_bytes == len(text.encode())
+        if i in (2, 3):
+            assert (r.record_type, r.refers_to, r.payload) == ("revisit", "<urn:page:7>", None)
+        else:
+            assert r.record_type == "response" and bytes(r.payload) == text.encode()
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_broken_segments_give_reasons_not_payloads(spark):
+    parts = [("<o>", "response", None, None, None, None, 1, None, bytearray(b"abc"), None), ("<o:3>", "continuation", None, None, None, "<o>", 3, 6, bytearray(b"def"), None)]
+    short = [("<p>", "response", None, None, None, None, 1, None, bytearray(b"abc"), None), ("<p:2>", "continuation", None, None, None, "<p>", 2, 7, bytearray(b"def"), None)]
+    got = {r.record_id: r for r in warc.reassemble(frame(spark, parts + short, warc.RECORD)).collect()}
+    assert got["<o>"].problem == "missing or repeated segment" and got["<p>"].problem == "total length differs" and got["<p>"].payload is None
+
+
+PAGE = (
+    "<html><head><title>t</title><script>var a='<p>';</script></head><body><header>Site</header><nav><ul><li><a href=/>Home</a></ul></nav><div class='cookie-notice'>Cookies!</div><div class='ad-12'>Buy</div>"
+    "<div class=main7><article class='post'><h1>Title &amp; more</h1><p>First <b>bold</b>\n  text here, long enough.<p>Second paragraph, with <a href=x>a link</a>.</article></div>"
+    "<aside>Related</aside><form>Name</form><div id=comments><p>A comment that goes on and on and on and on.</p></div><footer>Foot</footer></body></html>"
+)
+
+
+def test_extraction(spark):
+    rows = [(1, "http://h.example/1", PAGE), (2, "http://h.example/2", PAGE.replace("First", "Other")), (3, "odd", None), (4, None, ""), (5, "http://x/", "just words"), (1, "http://h.example/1", PAGE)]
+    got = extract.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 6
+    text = {r.page_id: r.text for r in got}
+    assert text[1] == "Title & more\nFirst bold text here, long enough.\nSecond paragraph, with a link."
+    assert text[2].split("\n")[1].startswith("Other bold") and text[3] == text[4] == "" and text[5] == "just words"
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_fingerprints(spark):
+    base = [prose(400, k) for k in range(12)]
+    rows = [(k * 10, t) for k, t in enumerate(base)] + [(5, None), (7, ""), (11, base[3]), (13, "x" * 100_000)]
+    got = {r.doc_id: r for r in fingerprints.with_next(frame(spark, rows, "doc_id long, text string")).collect()}
+    order = sorted((d, t or "") for d, t in rows)
+    assert len(got) == len(rows)
+    for k, (d, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1]
+        new = fingerprints.edited(t, nxt)
+        r = got[d]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert fingerprints.parse(r.fingerprint) == fingerprints.chunk_set(t) and fingerprints.parse(r.edited_fingerprint) == fingerprints.chunk_set(new)
+        assert 0 <= r.near_next <= 1 and (r.near_edited > 0.3 if len(t) > 1500 else True)
+    assert got[11].fingerprint == got[30].fingerprint and got[5].near_next == 1.0
+    assert fingerprints.with_next(frame(spark, [], "doc_id long, text string")).count() == 0
+    one = fingerprints.with_next(frame(spark, [(1, "solo text")], "doc_id long, text string")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+
+
+def test_chunks_cover_the_text_and_survive_an_insertion():
+    t = prose(3000, 1)
+    a, b = fingerprints.chunk_set(t), fingerprints.chunk_set("inserted words " + t)
+    assert sum(a.values()) == len(t) and fingerprints.likeness(a, b) > 0.95
+    assert all(n <= fingerprints.MOST for n in a.values())
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    rows = [(k, prose(random.Random(k).randrange(1, 900), k)) for k in range(40)] + [(100, None), (101, ""), (102, "a  b\n c <|endoftext|> é  "), (103, prose(4000, 9)), (103, "again")]
+    got = packing.pack(packing.token_pieces(frame(spark, rows, "doc_id long, text string"), **tokenizer_files()), island=32).collect()
+    known = Tokenizer.from_file(tokenizer_files()["json_file"])
+    wanted = []
+    for d, t in rows:
+        ids = [*known.encode(t or "", add_special_tokens=False).ids, 0]
+        data = b"".join(x.to_bytes(4, "little") for x in ids)
+        wanted += [(d, n, zlib.crc32(data[4 * s : 4 * (s + n)]), s) for _, s, n, _ in packing.pieces_of(data[:-4])]
+        assert sum(n for _, _, n, _ in packing.pieces_of(data[:-4])) == len(ids)
+    assert sorted((r.doc_id, r.length, r.ids_crc32, r.start) for r in got) == sorted(wanted)
+    by_sequence = {}
+    for r in got:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_sequence) <= -(-sum(w[1] for w in wanted) // 2048) + 3
+    assert packing.pack(packing.token_pieces(frame(spark, [], "doc_id long, text string"), **tokenizer_files())).count() == 0
+
+
+def test_language(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    net = langid.train(docs, per_language=256)
+    odd = frame(spark, [(-1, None), (-2, ""), (-3, "123 !!! ..."), (-4, "x")], "doc_id long, text string")
+    got = langid.predict(docs.select("doc_id", "text").unionByName(odd), net).withColumn("held", langid.held_out(F.col("doc_id"))).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
+    assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id in (-1, -2, -3))
+    held = [r for r in got if r.held and r.lang and len(re.findall(r"\w", r.text)) > 40]
+    assert sum(r.lang_pred == r.lang for r in held) / len(held) > 0.97
+    assert langid.train(docs.limit(0)) is None
+    assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
+
+
+def test_gradients_by_finite_differences():
+    import numpy as np
+
+    net = langid.initial(["a", "b"])
+    w = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    x, y = np.random.default_rng(1).integers(0, 256, (6, 4)), np.array([0, 1, 1, 0])
+
+    def loss(w):
+        p = langid.log_probabilities(w, langid.states(w, "f", x), langid.states(w, "b", x[::-1])[::-1])
+        return -p[:, np.arange(4), y].sum()
+
+    tf, tb = [], []
+    hf, hb = langid.states(w, "f", x, tf), langid.states(w, "b", x[::-1], tb)[::-1]
+    d = np.exp(langid.log_probabilities(w, hf, hb))
+    d[:, np.arange(4), y] -= 1
+    g = langid.backward(w, "f", x, tf, d @ w["outf"].T)
+    for name in ("gate_hf", "cand_hf"):
+        at, step = (2, 3), 1e-2
+        up, down = {**w, name: w[name].copy()}, {**w, name: w[name].copy()}
+        up[name][at] += step
+        down[name][at] -= step
+        assert abs((loss(up) - loss(down)) / (2 * step) - g[name][at]) < 2e-2

@@ -12,7 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[4]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.default.parallelism", "4").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[2]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.default.parallelism", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

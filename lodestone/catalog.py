@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: name -> (Spark query, DuckDB statement or None)
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -22,9 +21,8 @@ def query(name: str, sql: str | None = None):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users active in at least two event types within 48 hours of their latest event."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    """Confluence: keys that showed at least two families of events in the 48 hours up to a fixed time."""
+    return queries()["a18_confluence"](spark, sf_dir)
 
 
 def _load() -> None:

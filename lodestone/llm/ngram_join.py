@@ -238,8 +238,8 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int = SIMILA
 
 
 def _search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One query (the row without a candidate) against a bounded block of candidates."""
-    first = pdf["y"].isna()
+    """One query (the row that isn't a candidate) against a bounded block of candidates."""
+    first = pdf["y"] == pdf["x"]
     if not first.any() or first.all():
         return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
     query = np.asarray(pdf.loc[first, "s"].iloc[0]).view(np.uint64)
@@ -262,11 +262,17 @@ def _sets(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (x, y) -> the links (u, v) among them; a query's candidates are searched in blocks of bounded size."""
+    """pairs (x, y) -> the links (u, v) among them; a query's candidates are searched in blocks of bounded size.
+
+    Few enough pairs are broadcast to the sets, so that only the sets they name are shuffled, once.
+    """
     block = 128
+    few = pairs.count() <= BROADCAST_IDS
+    near = F.broadcast if few else (lambda d: d)
     sizes = pairs.groupBy("x").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    queries = sizes.join(sets, F.col("x") == F.col("doc")).select("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.lit(None).cast("long").alias("y"), "s")
-    candidates = pairs.join(sizes, "x").join(sets, F.col("y") == F.col("doc")).select("x", F.pmod(F.xxhash64("y"), F.col("blocks")).cast("int").alias("b"), "y", "s")
+    queries = sets.join(near(sizes), F.col("doc") == F.col("x")).select("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.col("x").alias("y"), "s")
+    asked = pairs.join(sizes, "x").select("x", "y", F.pmod(F.xxhash64("y"), F.col("blocks")).cast("int").alias("b"))
+    candidates = sets.join(near(asked), F.col("doc") == F.col("y")).select("x", "b", "y", "s")
     return queries.unionByName(candidates).groupBy("x", "b").applyInPandas(_search, "u long, v long")
 
 

@@ -78,8 +78,8 @@ def events(spark, d):
     return scan(spark, d, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("key"), F.col("event_type").alias("family"), F.col("ts").alias("at"))
 
 
-@query("a18_confluence", f"""WITH {EVENTS} SELECT key, count(DISTINCT family) AS n_families, string_agg(DISTINCT family, '+' ORDER BY family) AS families, count(*) AS n_events, min(at) AS first_seen, max(at) AS as_of
-    FROM e WHERE at <= TIMESTAMP '2024-01-30 00:00:00' AND at >= TIMESTAMP '2024-01-28 00:00:00' GROUP BY key HAVING count(DISTINCT family) >= 2""")
+@query("a18_confluence", f"""WITH {EVENTS} SELECT key, count(DISTINCT family) AS n_families, string_agg(DISTINCT family, '+' ORDER BY family) AS families, count(*) AS n_events, min(e."at") AS first_seen, max(e."at") AS as_of
+    FROM e WHERE e."at" <= TIMESTAMP '2024-01-30 00:00:00' AND e."at" >= TIMESTAMP '2024-01-28 00:00:00' GROUP BY key HAVING count(DISTINCT family) >= 2""")
 def a18(spark, d):
     return g.confluence(events(spark, d), "2024-01-30 00:00:00")
 

@@ -313,8 +313,7 @@ def _links(docs: DataFrame, heads: DataFrame, long_lists: tuple[np.ndarray, np.n
     # Only collapsed documents with enough live lists.
     live = stored(postings.join(heads.select("doc", "n"), "doc"), "postings")
     n = F.col("n")
-    need = lambda c: F.ceil(c * SIMILARITY_PERCENT / 100)
-    enough = live.groupBy("doc", "n").agg(F.count("*").alias("lists")).filter(F.col("lists") >= F.least(F.lit(OCCURRENCES), need(need(n))))
+    enough = live.groupBy("doc", "n").agg(F.count("*").alias("lists")).filter(F.col("lists") >= F.least(F.lit(OCCURRENCES), _need(_need(n))))
     lengths = lambda p: p.groupBy("list").agg(F.count("*").alias("length")).filter("length > 1")
     live = live.join(enough.select("doc"), "doc", "left_semi")
     live = stored(live.join(lengths(live).select("list"), "list", "left_semi"), "postings")
@@ -330,7 +329,7 @@ def _links(docs: DataFrame, heads: DataFrame, long_lists: tuple[np.ndarray, np.n
         # The leader of a list differs by turn; each document meets whoever leads most of its lists.
         lead = labelled.groupBy("list").agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc"), F.col("doc").alias("d"), F.col("comp").alias("c"), F.col("n").alias("m"))).alias("lead"), F.max("comp").alias("high"), F.min("comp").alias("low")).filter("low <> high")
         met = labelled.join(lead, "list").filter((F.col("comp") != F.col("lead.c")) & _sizes_fit("n", "lead.m")).groupBy("doc", "n", F.col("lead.d").alias("x"), F.col("lead.m").alias("m")).agg(F.count("*").alias("shared"))
-        met = met.filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), need(need(F.least("n", "m")))))
+        met = met.filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), _need(_need(F.least("n", "m")))))
         best = met.groupBy("doc").agg(F.max(F.struct("shared", "x")).alias("b")).select(F.col("b.x").alias("x"), F.col("doc").alias("y"))
         new = stored(_verified(stored(best, "pairs"), sets), "links")
         if not new.limit(1).count():
@@ -339,14 +338,24 @@ def _links(docs: DataFrame, heads: DataFrame, long_lists: tuple[np.ndarray, np.n
         known = stored(components(links), "known")
     labelled = live.withColumn("comp", F.col("doc")) if known is None else live.join(known, live["doc"] == known["node"], "left").select("list", "doc", "n", F.coalesce("component", "doc").alias("comp"))
     labelled = stored(labelled, "labelled")
-    # All remaining pairs: in each list, whoever isn't of its largest component, with whoever isn't of theirs.
+    return links.unionByName(stored(_verified(stored(_remaining(labelled), "pairs"), sets), "links"))
+
+
+def _remaining(labelled: DataFrame) -> DataFrame:
+    """list, doc, n, comp -> the pairs (x, y), x < y, of different components that share T lists or more."""
+    # In each list, whoever isn't of its largest component, with whoever isn't of theirs: each pair once.
     by_comp = labelled.groupBy("list", "comp").agg(F.count("*").alias("k"))
     top = by_comp.groupBy("list").agg(F.max(F.struct("k", "comp")).alias("t"), F.count("*").alias("comps")).filter("comps > 1").select("list", F.col("t.comp").alias("top"))
     within = labelled.join(top, "list")
-    minor = within.filter("comp <> top").select("list", F.col("doc").alias("x"), F.col("n").alias("m"), F.col("comp").alias("cx"))
-    pairs = minor.join(within, "list").filter((F.col("cx") != F.col("comp")) & ((F.col("comp") == F.col("top")) | (F.col("x") < F.col("doc"))) & _sizes_fit("n", "m"))
-    pairs = pairs.groupBy("x", "m", F.col("doc").alias("y"), "n").agg(F.count("*").alias("shared")).filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), need(need(F.least("n", "m"))))).select("x", "y")
-    return links.unionByName(stored(_verified(stored(pairs, "pairs"), sets), "links"))
+    minor = within.filter("comp <> top").select("list", F.col("doc").alias("d"), F.col("n").alias("m"), F.col("comp").alias("c"))
+    pairs = minor.join(within, "list").filter((F.col("c") != F.col("comp")) & ((F.col("comp") == F.col("top")) | (F.col("d") < F.col("doc"))) & _sizes_fit("n", "m"))
+    # Which of the two is the minor one differs by list, so the count is over the unordered pair.
+    pairs = pairs.groupBy(F.least("d", "doc").alias("x"), F.greatest("d", "doc").alias("y")).agg(F.count("*").alias("shared"), F.first(F.least("n", "m")).alias("least"))
+    return pairs.filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), _need(_need(F.col("least"))))).select("x", "y")
+
+
+def _need(c: F.Column) -> F.Column:
+    return F.ceil(c * SIMILARITY_PERCENT / 100)
 
 
 def _sizes_fit(a: str, b: str) -> F.Column:

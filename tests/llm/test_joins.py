@@ -68,6 +68,22 @@ def test_ngram_join(spark):
     assert ngram_join.similar(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_ngram_join_counts_a_pair_over_lists_of_either_top(spark):
+    # 4 and 100 grow together; 52 and 100 share T lists only if those led by either component are counted as one.
+    w = prose(20, 16).split()
+    texts = {100: w, 52: w[:16], 4: w[4:]}
+    prefixes = {d: {int(h) for h in s[: ngram_join.prefix_length(len(s))]} for d, s in ((d, ngram_join.shingles(" ".join(t))) for d, t in texts.items())}
+    shared = prefixes[100] & prefixes[52]
+    least = int(ngram_join.needed(12))
+    assert len(shared) >= least > max(len(shared & prefixes[4]), len(shared - prefixes[4]))
+    got = ngram_join.similar(spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {4: 4, 52: 4, 100: 4}
+    # Four lists {100, 50}, led by component 50 on a tie, and four that 101 gives to component 1.
+    rows = [(k, d, 12, c) for k in range(8) for d, c in ((100, 1), (50, 50), *(((101, 1),) if k < 4 else ()))]
+    pairs = ngram_join._remaining(spark.createDataFrame(rows, "list long, doc long, n long, comp long")).collect()
+    assert [(r.x, r.y) for r in pairs] == [(50, 100)]
+
+
 def test_divide_skip_is_exact():
     r = np.random.default_rng(1)
     query = np.unique(r.integers(0, 400, 200).astype(np.uint64))

@@ -1,6 +1,7 @@
 """Secret scans: three base patterns, and novelty measured by dictionary-primed zstandard.
 
-A candidate is a long mixed string near a sensitive word.  Its marginal cost is what a zstandard frame grows by when
+A candidate is a long mixed string near a sensitive word, taken whole however long; the following and preceding lines of
+a key are near through it.  Its marginal cost is what a zstandard frame grows by when
 the candidate follows its surrounding text, with a dictionary of ordinary code and identifiers plus that surrounding
 text as history.  Words and identifiers compress against the dictionary; random keys don't.
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +37,9 @@ KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|credential|bearer|private.?key|auth", re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Between the lines of one key, and its last line.
+GAP = re.compile(r"[^A-Za-z0-9]{1,96}", re.ASCII)
+TAIL = re.compile(r"""["']?(?:\r?\n|\\(?=n))[\x20\t]*["']?([A-Za-z0-9+/_=-]+)["']?[\x20\t]*(?=\r?\n|\\|\Z)""", re.ASCII)
 #: What ordinary code around a candidate looks like: fixed text that primes the compressor.
 DICTIONARY = (
     b"import from return class function const let var public private static void string int float bool null None True False "
@@ -68,27 +73,48 @@ def novelty(before: bytes, candidate: bytes, after: bytes) -> float:
     return (len(press.compress(candidate)) - len(press.compress(b""))) / max(1, len(candidate))
 
 
+def _near(words: list[int], start: int, end: int) -> bool:
+    k = bisect_right(words, start - CONTEXT)
+    return k < len(words) and words[k] < end + CONTEXT
+
+
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Candidates in a sensitive context that no base span touches and that don't compress."""
+    """What no base span covers of the whole candidates that don't compress, in a sensitive context or next to such a one."""
     words = [m.start() for m in SENSITIVE.finditer(text)]
     if not words:
         return []
-    found, at, last = [], 0, -1
-    for at in words:
-        low, high = max(0, at - CONTEXT), min(len(text), at + CONTEXT)
-        for m in CANDIDATE.finditer(text, low, min(len(text), high + 512)):
-            start, end = m.span()
-            if start >= high:
-                break
-            if start < last or any(start < e and s < end for s, e, _ in known):
-                continue
-            piece = m[0]
-            if not (any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece)):
-                continue
-            around = text[max(0, start - CONTEXT) : start].encode(), text[end : end + CONTEXT].encode()
-            if novelty(around[0], piece.encode(), around[1]) >= LEAST_NOVELTY:
-                found.append((start, end, "novel"))
-                last = end
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    secret: dict[int, bool] = {}
+
+    def judged(k: int) -> bool:
+        if k not in secret:
+            start, end = runs[k]
+            piece = text[start:end]
+            secret[k] = any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece) and novelty(text[max(0, start - CONTEXT) : start].encode(), piece.encode(), text[end : end + CONTEXT].encode()) >= LEAST_NOVELTY
+        return secret[k]
+
+    def adjoin(k: int) -> bool:
+        """Whether only punctuation and line ends stand between candidates k and k + 1."""
+        return bool(GAP.fullmatch(text, runs[k][1], runs[k + 1][0]))
+
+    held = {k for k, (start, end) in enumerate(runs) if _near(words, start, end) and judged(k)}
+    for order, step in ((range(len(runs) - 1), 1), (range(len(runs) - 1, 0, -1), -1)):
+        for k in order:
+            if k in held and k + step not in held and adjoin(min(k, k + step)) and judged(k + step):
+                held.add(k + step)
+    spans = [runs[k] for k in sorted(held)]
+    for k in held:  # the last line of a key is shorter
+        if k - 1 in held and adjoin(k - 1) and k + 1 not in held and (m := TAIL.match(text, runs[k][1])) and m.end(1) - m.start(1) <= runs[k][1] - runs[k][0]:
+            spans.append(m.span(1))
+    found = []
+    for start, end in sorted(spans):
+        over = sorted(s for s in known if s[0] < end and start < s[1])
+        at = start
+        for low, high, kind in [*over, (end, end, "")]:
+            # What stands before an assignment's word is the rest of its name.
+            if low > at and kind != "assign":
+                found.append((at, low, "novel"))
+            at = max(at, high)
     return found
 
 

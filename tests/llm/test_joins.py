@@ -146,6 +146,22 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_embeddings_of_a_dense_group_without_balls(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 32)
+    monkeypatch.setattr(embeddings, "QUERIES", 64)
+    r = np.random.default_rng(8)
+    noise = r.normal(size=(600, 64))
+    noise[:, 0] = 0
+    x = np.tan(np.radians(13)) * noise / np.sqrt((noise * noise).sum(1, keepdims=True))
+    x[:, 0] = 1
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    links = (unit @ unit.T >= 0.93).sum(1) - 1
+    rows = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {g.vec_id: g.n_links for g in embeddings.near_duplicates(rows).collect()}
+    assert links.mean() > 500 and sum(got.values()) >= 0.995 * links.sum()
+    assert all(got[k] <= n for k, n in enumerate(links.tolist()))
+
+
 def test_mixing(spark):
     rows = [(k, prose(random.Random(k).randrange(0, 60), k) if k % 9 else None, [None, "a", "b", "c", "é", "Z"][k % 6 if k > 40 else 1], 5) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, taken int")

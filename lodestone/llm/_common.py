@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
+import ctypes
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +15,10 @@ WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = getattr(scratch_dir, "own", None)
-        if at is None:
-            at = scratch_dir.own = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return at.rstrip("/")
 
 
@@ -49,6 +49,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def released() -> None:
+    """Called where a task's Python work ends: what the worker no longer uses goes back to the machine, since idle workers stay."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

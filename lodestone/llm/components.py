@@ -12,7 +12,7 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """edges (u, v), any direction, repeats and loops allowed -> (node, component): the smallest node reachable.
 
     Nodes without an edge to another node don't occur.  Nulls are ignored; no edges give no rows.
@@ -36,6 +36,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components: not converged after {most_rounds} rounds")
     roots = e.groupBy("u").agg(F.min("v").alias("v"))
     nodes = roots.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -1,20 +1,27 @@
 """N-gram Jaccard join: documents whose sets of 5-word shingles are alike, by T-occurrence search with DivideSkip.
 
-Sets are 64-bit shingle hashes.  All shingles have one global order: rare ones by hash, then frequent ones (the long
-inverted lists) by frequency.  Two sets of Jaccard similarity s or more share at least T of the elements that stand in
-the first n - ceil(s n) + T of each, so only these go into the inverted lists, lists of one document fall away, and so do
-documents with fewer than T live lists.  Frequent shingles stand last: they are probed, not merged, unless a document
-has little else.
-
-What is left is searched in rounds.  Every document meets the document that leads most of the lists they share; groups
-of such candidates are searched by DivideSkip: short lists are heap-merged and counted, candidates that can still reach
-the required overlap are probed in the long lists by binary search.  Documents already known to be connected are not
-compared again; the last round takes all remaining pairs of unconnected documents that share T lists, so no link between
-components is missed.  A list's frequency only decides the order, so an inexact count costs time, never a result.
+Sets are 64-bit shingle hashes; equal sets are collapsed to one node each.  Like sets of n and m elements share at least
+o = 3/7 (n + m) of them (for 0.75), so a set may hold at most n - ceil(0.75 n) elements that nobody else has.
+
+1. Prefixes.  The first n - ceil(0.75 n) + T elements of a set in the order of their hashes share T with those of any
+   like set (T grows with n).  They are dealt by hash, counted, and a node whose prefix holds too few shared elements is out.
+2. Live elements.  Of the nodes left, whole sets are dealt the same way: elements of one node only are dead, nodes with too
+   many dead ones are out, and again, since their going kills others.  What stays are near copies and little else; an
+   overlap of two sets is one of their l live elements, so 7 min(l, l') >= 3 (n + n') must hold for a link.
+3. Leaders.  In the order of rising frequency, the first l - ceil(0.75 n) + T live elements of a node are its lists.  Each
+   node is compared with the node that leads most of its lists (the one with the largest live share), which connects
+   nearly all near copies.
+4. Search.  Nodes of one component (or, alone, with one best leader) form blocks of bounded size.  A node of a smaller
+   component asks the blocks that share T of its lists, and a block answers by T-occurrence search in its inverted
+   lists: short ones are heap-merged and counted, candidates that can still reach the required overlap are probed in the long ones by
+   binary search.  No pair of documents is listed before it is a link.  Every pair of nodes of different components
+   is covered, so `component_id` is exact.
 
 Texts are lower-cased A-Z only; words are [^\\x20\\x09-\\x0D]+.  With fewer than five words the whole sequence is one
-shingle; without any (or with a null text) the set is empty and is linked with nothing.  Equal sets are collapsed to their smallest
-doc_id first.  Null doc_ids get a null component and link nothing; an empty table gives no rows.
+shingle; without any (or with a null text) the set is empty and is linked with nothing.  Of equal sets the smallest doc_id
+counts.  Rows that share a doc_id are rows of their own; a null doc_id links like any other, but is nobody's
+component_id unless all of a component's are null.  Very long texts are sets like others.  Extra columns are ignored.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,15 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm._common import partitions, small_batches, stored
+from lodestone.llm._common import forget, partitions, released, small_batches, stored
 from lodestone.llm.components import components
 
-WORDS, SIMILARITY_PERCENT, OCCURRENCES = 5, 75, 8
-#: Lists of at least LONG documents are long; at most LONG_LISTS of them (the longest) are told to all tasks.
-LONG, LONG_LISTS, BROADCAST_IDS = 24, 1_000_000, 4_000_000
-CHUNK = 4_000_000
-#: Searches against leaders before all remaining pairs; any number gives the same components.
-TURNS = 2
+WORDS, SIMILARITY_PERCENT, OCCURRENCES = 5, 75, 4
+#: Rows that are told to all tasks at most (each of some 40 bytes), and elements of a block of the index.
+BROADCAST_ROWS, BLOCK_ELEMENTS, QUERIES = 1_000_000, 200_000, 256
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -66,226 +70,217 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mixed(h))
 
 
-def required(n: int | np.ndarray, percent: int = SIMILARITY_PERCENT):
+def required(n: int, percent: int = SIMILARITY_PERCENT) -> int:
     """The least overlap of a set of n with any set that is like it."""
     return -(-percent * n // 100)
 
 
-def needed(n, percent: int = SIMILARITY_PERCENT):
-    """T: the elements of its prefix that a set of n shares with any set that is like it."""
-    return np.minimum(OCCURRENCES, required(required(n, percent), percent))
+def occurrences(n: int) -> int:
+    """T of the first step."""
+    return min(8 + n // 8, required(n))
 
 
-def prefix_length(n: int, percent: int = SIMILARITY_PERCENT) -> int:
-    return min(n, n - required(n, percent) + OCCURRENCES)
+def prefix_length(n: int) -> int:
+    return min(n, n - required(n) + occurrences(n))
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its id, size and set digest; and, every CHUNK hashes, those that occurred more than once."""
-    import xxhash
-
-    held: list[np.ndarray] = []
-    size = 0
+def overlap(n, m, percent: int = SIMILARITY_PERCENT):
+    """What sets of n and m share at least if |x & y| * 100 >= percent * |x | y|."""
+    return -(-percent * (n + m) // (100 + percent))
 
-    def frequent():
-        h, c = np.unique(np.concatenate(held), return_counts=True)
-        return h[c > 1].view(np.int64), c[c > 1]
 
-    def rows(ids, n, one, two, h, c):
-        k = len(h)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([*ids, *[None] * k], pa.int64()), pa.array([*n, *[None] * k], pa.int64()), pa.array([*one, *[None] * k], pa.int64()), pa.array([*two, *[None] * k], pa.int64()), pa.array([None] * len(ids) + h.tolist(), pa.int64()), pa.array([None] * len(ids) + c.tolist(), pa.int64())],
-            names=["doc_id", "n", "one", "two", "h", "c"],
-        )
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    import xxhash
 
-    none = np.zeros(0, np.int64)
-    for batch in batches:
-        ids, n, one, two = batch.column(0).to_pylist(), [], [], []
-        for text in batch.column(1).to_pylist():
-            s = shingles(text)
-            d = xxhash.xxh3_128_intdigest(s.tobytes())
-            n.append(len(s))
-            one.append((d & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-            two.append((d >> 64) - (1 << 63))
-            held.append(s)
-            size += len(s)
-        h, c = none, none
-        if size > CHUNK:
-            h, c = frequent()
-            held, size = [], 0
-        yield rows(ids, n, one, two, h, c)
-    if held:
-        h, c = frequent()
-        yield rows([], [], [], [], h, c)
-
-
-def _prefixes(long_hashes, parts: int):
-    """Postings of every document's prefix, packed by the partition of their list: 32 bits of the hash, and the id."""
+    d = xxhash.xxh3_128_intdigest(s.tobytes())
+    return (d & 0xFFFFFFFFFFFFFFFF) - (1 << 63), (d >> 64) - (1 << 63)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, weight = long_hashes.value
-        hs, ds, size = [], [], 0
-
-        def flush():
-            h, d = np.concatenate(hs), np.concatenate(ds)
-            p = (h >> np.uint64(40)) % np.uint64(parts)
-            order = np.argsort(p, kind="stable")
-            p, h, d = p[order], (h[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), d[order]
-            edges = np.flatnonzero(np.diff(p, prepend=p[0] + np.uint64(1) if len(p) else 0))
-            ends = [*edges[1:].tolist(), len(p)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(p[edges].astype(np.int32)), pa.array([h[a:b].tobytes() for a, b in zip(edges.tolist(), ends, strict=True)], pa.binary()), pa.array([d[a:b].tobytes() for a, b in zip(edges.tolist(), ends, strict=True)], pa.binary())],
-                names=["p", "hashes", "ids"],
-            )
 
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its id, size and set digest."""
+    for batch in batches:
+        sets = [shingles(t) for t in batch.column(1).to_pylist()]
+        digests = [_digest(s) for s in sets]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64())], names=["doc_id", "n", "one", "two"])
+    released()
+
+
+CELLS = "p int, hashes binary, ids binary"
+
+
+def _cells(h: np.ndarray, d: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Postings packed by the partition of their element: 32 bits of the hash, and the differences of the sorted ids."""
+    p = (h >> np.uint64(40)) % np.uint64(parts)
+    order = np.lexsort((d, p))
+    p, h, d = p[order], (h[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), d[order]
+    first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+    ends = np.append(first[1:], len(p))
+    step = np.diff(d, prepend=0)
+    step[first] = d[first]
+    bounds = list(zip(first.tolist(), ends.tolist(), strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(p[first].astype(np.int32)), pa.array([h[a:b].tobytes() for a, b in bounds], pa.binary()), pa.array([step[a:b].tobytes() for a, b in bounds], pa.binary())], names=["p", "hashes", "ids"])
+
+
+def _dealt(rows: Iterator[tuple[int, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    hs, ds, size = [], [], 0
+    for node, s in rows:
+        hs.append(s)
+        ds.append(np.full(len(s), node, np.int64))
+        size += len(s)
+        if size > 400_000:
+            yield _cells(np.concatenate(hs), np.concatenate(ds), parts)
+            hs, ds, size = [], [], 0
+    if size:
+        yield _cells(np.concatenate(hs), np.concatenate(ds), parts)
+    released()
+
+
+def _prefixes(parts: int):
+    """doc_id, text -> the postings of prefixes; of equal sets in one task only the first's."""
+
+    def rows(batches):
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingles(text)
-                if doc is None or not len(s):
-                    continue
-                k = prefix_length(len(s))
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    known = frequent[at] == s
-                    rare = s[~known]
-                    if len(rare) < k:
-                        often, w = s[known], weight[at[known]]
-                        rare = np.concatenate([rare, often[np.lexsort((often, w))[: k - len(rare)]]])
-                    s = rare
-                hs.append(s[:k])
-                ds.append(np.full(min(k, len(s)), doc, np.int64))
-                size += len(hs[-1])
-            if size > 400_000:
-                yield flush()
-                hs, ds, size = [], [], 0
-        if size:
-            yield flush()
-
-    return run
-
-
-def _live_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All postings of a partition's lists -> those of lists with two documents or more."""
-    hs, ds, part = [], [], 0
-    for batch in batches:
-        for p, h, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            part = p
-            hs.append((np.frombuffer(h, np.uint32), p))
-            ds.append(np.frombuffer(d, np.int64))
-    if not hs:
-        return
-    h = np.concatenate([x.astype(np.uint64) | np.uint64(p << 32) for x, p in hs])
-    d = np.concatenate(ds)
-    order = np.argsort(h, kind="stable")
-    h, d = h[order], d[order]
-    same = h[1:] == h[:-1]
-    live = np.zeros(len(h), bool)
-    live[1:] |= same
-    live[:-1] |= same
-    h, d = h[live].view(np.int64), d[live]
-    for at in range(0, len(h), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(h[at : at + 50_000]), pa.array(d[at : at + 50_000])], names=["list", "doc"])
+                if len(s) and (key := _digest(s)) not in seen:
+                    if len(seen) < 100_000:
+                        seen.add(key)
+                    # The set stands for itself here: its node isn't known yet.
+                    yield key[0], s[: prefix_length(len(s))]
 
+    return lambda batches: _dealt(rows(batches), parts)
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int = SIMILARITY_PERCENT) -> list[int]:
-    """Numbers of the sets that are like the query.
-
-    The inverted lists of the query's elements over the sets; the longest are left out of the merge, which then asks for
-    so many occurrences fewer, and whoever survives is probed in them.
-    """
-    n = len(query)
-    sizes = np.array([len(s) for s in sets])
-    # |x & y| * 100 >= percent * |x | y|  <=>  overlap >= percent * (|x| + |y|) / (100 + percent)
-    least = -(-percent * (n + sizes) // (100 + percent))
-    if not len(sets) or not n:
-        return []
-    elements, owners = [], []
-    for k, s in enumerate(sets):
-        at = np.searchsorted(query, s)
-        at[at == n] = 0
-        hit = at[query[at] == s]
-        elements.append(hit)
-        owners.append(np.full(len(hit), k))
-    element, owner = np.concatenate(elements), np.concatenate(owners)
-    order = np.lexsort((owner, element))
-    bounds = np.searchsorted(element[order], np.arange(n + 1))
-    owner = owner[order].tolist()
-    lists = sorted((owner[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if b > a), key=len)
-    t = int(least.min())
-    if len(lists) < t:
-        return []
-    # With lists all about as long as there are sets, probing nearly all of them costs less than merging them.
-    skip = min(t - 1, max(int(t / (0.0085 * math.log2(max(2, len(lists[-1]))) + 1)), 0))
-    short, probed = lists[: len(lists) - skip], lists[len(lists) - skip :]
-    counts: dict[int, int] = {}
-    for k in heapq.merge(*short):
-        counts[k] = counts.get(k, 0) + 1
-    found = []
-    for k, c in sorted(counts.items()):
-        t = int(least[k])
-        left = len(probed)
-        if c + left < t:
-            continue
-        for one in probed:
-            at = bisect_left(one, k)
-            c += at < len(one) and one[at] == k
-            left -= 1
-            if c >= t or c + left < t:
-                break
-        if c >= t:
-            found.append(k)
-    return found
 
+def _whole_sets(parts: int):
+    """node, s -> the postings of whole sets."""
 
-def _search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One query (the row that isn't a candidate) against a bounded block of candidates."""
-    first = pdf["y"] == pdf["x"]
-    if not first.any() or first.all():
-        return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
-    query = np.asarray(pdf.loc[first, "s"].iloc[0]).view(np.uint64)
-    rest = pdf[~first]
-    found = divide_skip(query, [np.asarray(s).view(np.uint64) for s in rest["s"]])
-    y = rest["y"].to_numpy(dtype="int64")[found]
-    return pd.DataFrame({"u": np.full(len(y), pdf["x"].iloc[0], np.int64), "v": y})
+    def rows(batches):
+        for batch in batches:
+            for node, s in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield node, s.values.to_numpy(zero_copy_only=False).view(np.uint64)
 
+    return lambda batches: _dealt(rows(batches), parts)
 
-def _sets(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
-    """The sets of the given documents: a broadcast of ids where they are few enough, a shuffle of texts beyond."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "s"])
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All postings of a partition -> for each id in it, how many of its elements somebody else has too."""
+    hs, ds = [], []
+    for batch in batches:
+        for h, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            hs.append(np.frombuffer(h, np.uint32))
+            ds.append(np.cumsum(np.frombuffer(d, np.int64)))
+    if hs:
+        h, d = np.concatenate(hs), np.concatenate(ds)
+        order = np.lexsort((d, h))
+        h, d = h[order], d[order]
+        own = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))  # equal sets of other tasks count once
+        h, d = h[own], d[own]
+        same = h[1:] == h[:-1]
+        live = np.append(False, same) | np.append(same, False)
+        ids, counts = np.unique(d[live], return_counts=True)
+        for at in range(0, len(ids), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 50_000]), pa.array(counts[at : at + 50_000])], names=["id", "live"])
+    released()
+
+
+def _live_counts(packed: DataFrame) -> DataFrame:
+    """CELLS -> id, live."""
+    parts = partitions(packed.sparkSession)
+    return packed.repartitionById(parts, F.col("p")).mapInArrow(_shared, "id long, live long").groupBy("id").agg(F.sum("live").alias("live"))
+
+
+class Index:
+    """A block of sets with its inverted lists; answers which of them are like a query."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: list[int]):
+        lengths = np.array([len(s) for s in sets], np.int64)
+        self.n, self.live, self.sets = np.array(sizes, np.int64), lengths, len(sets)
+        elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), lengths)
+        order = np.lexsort((owner, elements))
+        self.elements, self.owner = elements[order], owner[order]
+
+    def search(self, query: np.ndarray, n: int, percent: int = SIMILARITY_PERCENT) -> list[int]:
+        """query: a set's live elements; n: its size with the dead ones.  Numbers of the like sets, by DivideSkip.
+
+        The longest lists are left out of the merge, which then asks for so many occurrences fewer, and whoever
+        survives is probed in them by binary search.
+        """
+        least = overlap(n, self.n, percent)
+        can = np.minimum(self.live, len(query)) >= least
+        if not can.any():
+            return []
+        low, high = np.searchsorted(self.elements, query, "left"), np.searchsorted(self.elements, query, "right")
+        at = np.flatnonzero(high > low)
+        t = int(least[can].min())
+        if len(at) < t:
+            return []
+        at = at[np.argsort(high[at] - low[at], kind="stable")]
+        lists = [self.owner[a:b].tolist() for a, b in zip(low[at].tolist(), high[at].tolist(), strict=True)]
+        skip = min(t - 1, int(t / (0.0085 * math.log2(max(2, len(lists[-1]))) + 1)))
+        short, probed = lists[: len(lists) - skip], lists[len(lists) - skip :]
+        wanted, possible = least.tolist(), can.tolist()
+        counts: dict[int, int] = {}
+        for k in heapq.merge(*short):
+            counts[k] = counts.get(k, 0) + 1
+        found = []
+        for k, c in sorted(counts.items()):
+            t, left = wanted[k], len(probed)
+            if not possible[k] or c + left < t:
+                continue
+            for one in probed:
+                x = bisect_left(one, k)
+                c += x < len(one) and one[x] == k
+                left -= 1
+                if c >= t or c + left < t:
+                    break
+            if c >= t:
+                found.append(k)
+        return found
 
-    wanted = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
-    return docs.join(wanted, docs["doc_id"] == ids["doc"], "left_semi").mapInArrow(run, "doc long, s array<long>")
 
+def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int = SIMILARITY_PERCENT) -> list[int]:
+    """Numbers of the sets that are like the query."""
+    return Index(sets, [len(s) for s in sets]).search(query, len(query), percent) if sets and len(query) else []
+
+
+def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A block's nodes (asks false) and the nodes that ask it: the links found; of a block that is one component, one for each asker."""
+    asks = pdf["asks"].to_numpy(bool)
+    block, askers = pdf[~asks], pdf[asks]
+    us, vs = [], []
+    if len(block) and len(askers):
+        index = Index([np.asarray(s, np.int64).view(np.uint64) for s in block["live"]], block["n"].tolist())
+        nodes, one = block["node"].to_numpy(np.int64), bool(block["whole"].all())
+        for node, n, live in zip(askers["node"].tolist(), askers["n"].tolist(), askers["live"], strict=True):
+            found = [k for k in index.search(np.asarray(live, np.int64).view(np.uint64), n) if nodes[k] != node]
+            for k in found[:1] if one else found:
+                us.append(node)
+                vs.append(int(nodes[k]))
+    return pd.DataFrame({"u": pd.Series(us, dtype="int64"), "v": pd.Series(vs, dtype="int64")})
+
+
+def _answers(asked: DataFrame, blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """asked (node, block), blocks (node, block, whole), nodes (node, n, live) -> links (u, v).
+
+    The askers of a block come in chunks of about QUERIES, each with a copy of the block.
+    """
+    chunks = stored(asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks")), "chunks")
+    few = chunks.count() <= BROADCAST_ROWS
+    near = F.broadcast(chunks) if few else chunks
+    held = blocks.join(near, "block").join(nodes, "node").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node", "n", "live", "whole", F.lit(False).alias("asks"))
+    asking = asked.join(near, "block").join(nodes, "node").select("block", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), "node", "n", "live", F.lit(False).alias("whole"), F.lit(True).alias("asks"))
+    return held.unionByName(asking).groupBy("block", "chunk").applyInPandas(_answer, "u long, v long")
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (x, y) -> the links (u, v) among them; a query's candidates are searched in blocks of bounded size.
 
-    Few enough pairs are broadcast to the sets, so that only the sets they name are shuffled, once.
-    """
-    block = 128
-    few = pairs.count() <= BROADCAST_IDS
-    near = F.broadcast if few else (lambda d: d)
-    sizes = pairs.groupBy("x").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    queries = sets.join(near(sizes), F.col("doc") == F.col("x")).select("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.col("x").alias("y"), "s")
-    asked = pairs.join(sizes, "x").select("x", "y", F.pmod(F.xxhash64("y"), F.col("blocks")).cast("int").alias("b"))
-    candidates = sets.join(near(asked), F.col("doc") == F.col("y")).select("x", "b", "y", "s")
-    return queries.unionByName(candidates).groupBy("x", "b").applyInPandas(_search, "u long, v long")
+def _need(c: F.Column) -> F.Column:
+    return F.ceil(c * SIMILARITY_PERCENT / 100)
 
 
-def _long_lists(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The long lists' hashes, sorted, and their lengths: at most LONG_LISTS, by doubling the length asked for."""
-    counts = stored(measured.filter("h is not null").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= LONG), "long")
-    least = LONG
-    while counts.filter(F.col("c") >= least).count() > LONG_LISTS:
-        least *= 2
-    table = counts.filter(F.col("c") >= least).toArrow()
-    h, c = table["h"].to_numpy().view(np.uint64), table["c"].to_numpy()
-    order = np.argsort(h)
-    return h[order], c[order]
+def _fit(n: str, live: str, m: str, other: str) -> F.Column:
+    """Whether two nodes can share enough."""
+    return F.least(F.col(live), F.col(other)) * (100 + SIMILARITY_PERCENT) >= (F.col(n) + F.col(m)) * SIMILARITY_PERCENT
 
 
 def similar(docs: DataFrame) -> DataFrame:
@@ -293,70 +288,110 @@ def similar(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark, 256)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    measured = stored(docs.mapInArrow(_measure, "doc_id long, n long, one long, two long, h long, c long"), "measured")
-    sizes = measured.filter("n is not null").select("doc_id", "n", "one", "two")
-    heads = stored(sizes.filter("n > 0 and doc_id is not null").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc")), "heads")
-    edges = _links(docs, heads, _long_lists(measured))
-    of_heads = components(edges)
-    labelled = heads.join(of_heads, F.col("doc") == F.col("node"), "left").select(F.col("one").alias("h1"), F.col("two").alias("h2"), F.col("n").alias("hn"), F.coalesce("component", "doc").alias("component"))
+    sizes = stored(docs.mapInArrow(_measure, "doc_id long, n long, one long, two long"), "sizes")
+    heads = sizes.filter("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc")).withColumn("node", F.monotonically_increasing_id())
+    heads = stored(heads, "heads")
+    linked = components(_links(docs, heads))
+    # A component's smallest doc_id; nodes without a link keep their own.
+    named = linked.join(heads.select("node", "doc"), "node").groupBy("component").agg(F.min("doc").alias("smallest"))
+    renamed = linked.join(named, "component").select("node", "smallest")
+    labelled = heads.join(renamed, "node", "left").select(F.col("one").alias("h1"), F.col("two").alias("h2"), F.col("n").alias("hn"), F.coalesce("smallest", "doc").alias("component"))
     out = sizes.join(labelled, (F.col("one") == F.col("h1")) & (F.col("two") == F.col("h2")) & (F.col("n") == F.col("hn")), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _links(docs: DataFrame, heads: DataFrame, long_lists: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Links among collapsed documents that connect all of each component."""
-    spark = docs.sparkSession
-    parts = partitions(spark)
-    told = spark.sparkContext.broadcast(long_lists)
-    packed = docs.mapInArrow(_prefixes(told, parts), "p int, hashes binary, ids binary").repartitionById(parts, F.col("p"))
-    postings = packed.mapInArrow(_live_lists, "list long, doc long")
-    # Only collapsed documents with enough live lists.
-    live = stored(postings.join(heads.select("doc", "n"), "doc"), "postings")
-    n = F.col("n")
-    enough = live.groupBy("doc", "n").agg(F.count("*").alias("lists")).filter(F.col("lists") >= F.least(F.lit(OCCURRENCES), _need(_need(n))))
-    lengths = lambda p: p.groupBy("list").agg(F.count("*").alias("length")).filter("length > 1")
-    live = live.join(enough.select("doc"), "doc", "left_semi")
-    live = stored(live.join(lengths(live).select("list"), "list", "left_semi"), "postings")
-    ids = live.select("doc").distinct()
-    n_ids = ids.count()
-    empty = spark.createDataFrame([], "u long, v long")
-    if not n_ids:
-        return empty
-    sets = stored(_sets(docs, stored(ids, "ids"), n_ids), "sets")
-    links, known = empty, None
-    for turn in range(TURNS):
-        labelled = live.withColumn("comp", F.col("doc")) if known is None else live.join(known, live["doc"] == known["node"], "left").select("list", "doc", "n", F.coalesce("component", "doc").alias("comp"))
-        # The leader of a list differs by turn; each document meets whoever leads most of its lists.
-        lead = labelled.groupBy("list").agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc"), F.col("doc").alias("d"), F.col("comp").alias("c"), F.col("n").alias("m"))).alias("lead"), F.max("comp").alias("high"), F.min("comp").alias("low")).filter("low <> high")
-        met = labelled.join(lead, "list").filter((F.col("comp") != F.col("lead.c")) & _sizes_fit("n", "lead.m")).groupBy("doc", "n", F.col("lead.d").alias("x"), F.col("lead.m").alias("m")).agg(F.count("*").alias("shared"))
-        met = met.filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), _need(_need(F.least("n", "m")))))
-        best = met.groupBy("doc").agg(F.max(F.struct("shared", "x")).alias("b")).select(F.col("b.x").alias("x"), F.col("doc").alias("y"))
-        new = stored(_verified(stored(best, "pairs"), sets), "links")
-        if not new.limit(1).count():
-            break
-        links = stored(links.unionByName(new), "links")
-        known = stored(components(links), "known")
-    labelled = live.withColumn("comp", F.col("doc")) if known is None else live.join(known, live["doc"] == known["node"], "left").select("list", "doc", "n", F.coalesce("component", "doc").alias("comp"))
-    labelled = stored(labelled, "labelled")
-    return links.unionByName(stored(_verified(stored(_remaining(labelled), "pairs"), sets), "links"))
-
-
-def _remaining(labelled: DataFrame) -> DataFrame:
-    """list, doc, n, comp -> the pairs (x, y), x < y, of different components that share T lists or more."""
-    # In each list, whoever isn't of its largest component, with whoever isn't of theirs: each pair once.
-    by_comp = labelled.groupBy("list", "comp").agg(F.count("*").alias("k"))
-    top = by_comp.groupBy("list").agg(F.max(F.struct("k", "comp")).alias("t"), F.count("*").alias("comps")).filter("comps > 1").select("list", F.col("t.comp").alias("top"))
-    within = labelled.join(top, "list")
-    minor = within.filter("comp <> top").select("list", F.col("doc").alias("d"), F.col("n").alias("m"), F.col("comp").alias("c"))
-    pairs = minor.join(within, "list").filter((F.col("c") != F.col("comp")) & ((F.col("comp") == F.col("top")) | (F.col("d") < F.col("doc"))) & _sizes_fit("n", "m"))
-    # Which of the two is the minor one differs by list, so the count is over the unordered pair.
-    pairs = pairs.groupBy(F.least("d", "doc").alias("x"), F.greatest("d", "doc").alias("y")).agg(F.count("*").alias("shared"), F.first(F.least("n", "m")).alias("least"))
-    return pairs.filter(F.col("shared") >= F.least(F.lit(OCCURRENCES), _need(_need(F.col("least"))))).select("x", "y")
+def _sets(docs: DataFrame, wanted: DataFrame, n_wanted: int) -> DataFrame:
+    """node, n, s: the sets of the wanted nodes (node, doc, n, one, two), each once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            digests = [_digest(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["h1", "h2", "s"])
+        released()
 
-def _need(c: F.Column) -> F.Column:
-    return F.ceil(c * SIMILARITY_PERCENT / 100)
+    few = n_wanted <= BROADCAST_ROWS
+    near = F.broadcast if few else (lambda d: d)
+    ids = wanted.select("doc").distinct()
+    mine = docs.join(near(ids), docs["doc_id"].eqNullSafe(ids["doc"]), "left_semi").mapInArrow(run, "h1 long, h2 long, s array<long>")
+    # Rows that repeat an id and a text give one node twice.
+    return mine.join(near(wanted.select("node", "n", "one", "two")), (F.col("h1") == F.col("one")) & (F.col("h2") == F.col("two"))).select("node", "n", "s").dropDuplicates(["node"])
+
+
+def _lively(docs: DataFrame, heads: DataFrame) -> DataFrame | None:
+    """node, n, l, live: the nodes that can have a link, with their live elements, rare ones first; None without any."""
+    parts = partitions(docs.sparkSession)
+    first = _live_counts(docs.mapInArrow(_prefixes(parts), CELLS))
+    n = F.col("n")
+    smaller = _need(n)
+    least = F.least(F.lit(8) + F.floor(smaller / 8), _need(smaller))
+    wanted = stored(heads.join(first, heads["one"] == first["id"]).filter(F.col("live") >= least).drop("id", "live"), "wanted")
+    count = wanted.count()
+    if not count:
+        return None
+    sets = stored(_sets(docs, wanted, count), "sets")
+    forget(wanted)
+    while True:  # ends: fewer nodes each time, or nearly as many
+        live = _live_counts(sets.select("node", "s").mapInArrow(_whole_sets(parts), CELLS)).withColumnRenamed("id", "node")
+        fewer = stored(sets.join(live.filter("live > 0"), "node").filter(F.col("live") * 100 >= n * SIMILARITY_PERCENT).select("node", "n", "s"), "sets")
+        forget(sets)
+        sets, before = fewer, count
+        count = sets.count()
+        if not count:
+            return None
+        if count > 0.9 * before:
+            break
+    postings = stored(sets.select("node", F.explode("s").alias("h")), "postings")
+    often = postings.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    live = postings.join(often, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("x")).select("node", F.expr("transform(x, e -> e.h)").alias("live"))
+    out = stored(sets.select("node", "n").join(live, "node").withColumn("l", F.size("live").cast("long")).filter(F.col("l") * 100 >= n * SIMILARITY_PERCENT), "lively")
+    forget(sets)
+    forget(postings)
+    return out
 
 
-def _sizes_fit(a: str, b: str) -> F.Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY_PERCENT
+def _links(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Links among nodes that connect all of each component."""
+    spark = docs.sparkSession
+    empty = spark.createDataFrame([], "u long, v long")
+    nodes = _lively(docs, heads)
+    if nodes is None:
+        return empty
+    t = F.least(F.lit(OCCURRENCES), _need(_need(F.col("n"))))
+    some = F.expr(f"slice(live, 1, cast(l - ceil(n * {SIMILARITY_PERCENT} / 100) + {OCCURRENCES} as int))")
+    lists = stored(nodes.select("node", "n", "l", t.cast("int").alias("t"), F.explode(some).alias("list")), "lists")
+
+    # 3. Everybody meets the leader of most of its lists.
+    leader = lists.groupBy("list").agg(F.max(F.struct((F.col("l") / F.col("n")).alias("share"), (-F.col("node")).alias("back"), F.col("n").alias("m"), F.col("l").alias("k"))).alias("x"), F.count("*").alias("df")).filter("df > 1")
+    leader = leader.select("list", (-F.col("x.back")).alias("lead"), F.col("x.m").alias("m"), F.col("x.k").alias("k"))
+    met = lists.join(leader, "list").filter((F.col("node") != F.col("lead")) & _fit("n", "l", "m", "k"))
+    met = met.groupBy("node", "lead", "t").agg(F.count("*").alias("c")).filter("c >= t").groupBy("node").agg(F.max(F.struct("c", (-F.col("lead")).alias("back"))).alias("x"))
+    best = stored(met.select("node", (-F.col("x.back")).alias("lead")), "best")
+    led = best.select("lead").distinct().select(F.col("lead").alias("node"), F.col("lead").alias("block"), F.lit(True).alias("whole"))
+    links = stored(_answers(best.select("node", F.col("lead").alias("block")), led, nodes.select("node", "n", "live")), "links")
+    known = stored(components(links), "known")
+
+    # 4. Blocks of one component, or of lone nodes with one leader's component; those of smaller components ask.
+    of = known.select(F.col("node").alias("lead"), F.col("component").alias("led_by"))
+    at = nodes.select("node", "l").join(known, "node", "left").join(best, "node", "left").join(of, "lead", "left")
+    alone = F.col("component").isNull()
+    at = at.select("node", "l", alone.alias("alone"), F.coalesce("component", "node").alias("comp"), F.coalesce(F.col("component"), F.col("led_by"), F.col("lead"), F.col("node")).alias("key"))
+    groups = at.groupBy("alone", "key").agg(F.sum("l").alias("elements"), F.count("*").alias("size"))
+    groups = groups.select(F.col("alone").alias("a"), F.col("key").alias("k"), F.when(F.col("alone"), 1).otherwise(F.col("size")).alias("size"), F.ceil(F.col("elements") / BLOCK_ELEMENTS).alias("blocks"))
+    placed = at.join(groups, (F.col("alone") == F.col("a")) & (F.col("key") == F.col("k")))
+    # A component's rank orders who asks whom: smaller ones ask larger ones.
+    placed = stored(placed.select("node", "comp", "alone", F.struct("size", F.when(F.col("alone"), 0).otherwise(F.col("comp")).alias("comp")).alias("rank"), F.xxhash64("alone", "key", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")), "placed")
+    whose = stored(lists.select("node", "t", "list").join(placed, "node"), "whose")
+    # An inverted index over blocks: one posting for each block and list.
+    index = whose.groupBy("list", "block", "rank").agg(F.count("*").alias("size"), F.min("node").alias("only"))
+    index = index.select("list", F.col("block").alias("to"), F.col("rank").alias("to_rank"), "size", "only")
+    # Nobody of a list's largest component asks by it.
+    top = index.groupBy("list").agg(F.max("to_rank").alias("top"), F.count("*").alias("to_blocks"), F.max("size").alias("most")).filter("to_blocks > 1 or most > 1").select("list", "top")
+    askers = whose.join(top, "list").filter(F.col("alone") | (F.col("rank") < F.col("top")))
+    asked = askers.join(index, "list").filter((F.col("rank") < F.col("to_rank")) | (F.col("alone") & (F.col("rank") == F.col("to_rank")) & ~((F.col("size") == 1) & (F.col("only") == F.col("node")))))
+    asked = asked.groupBy("node", "to", "t").agg(F.count("*").alias("c")).filter("c >= t").select("node", F.col("to").alias("block"))
+    more = _answers(stored(asked, "asked"), placed.select("node", "block", (~F.col("alone")).alias("whole")), nodes.select("node", "n", "live"))
+    found = stored(links.unionByName(more), "found")
+    for table in (lists, links, whose):
+        forget(table)
+    return found

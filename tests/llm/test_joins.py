@@ -68,20 +68,32 @@ def test_ngram_join(spark):
     assert ngram_join.similar(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_ngram_join_counts_a_pair_over_lists_of_either_top(spark):
-    # 4 and 100 grow together; 52 and 100 share T lists only if those led by either component are counted as one.
-    w = prose(20, 16).split()
-    texts = {100: w, 52: w[:16], 4: w[4:]}
-    prefixes = {d: {int(h) for h in s[: ngram_join.prefix_length(len(s))]} for d, s in ((d, ngram_join.shingles(" ".join(t))) for d, t in texts.items())}
-    shared = prefixes[100] & prefixes[52]
-    least = int(ngram_join.needed(12))
-    assert len(shared) >= least > max(len(shared & prefixes[4]), len(shared - prefixes[4]))
-    got = ngram_join.similar(spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == {4: 4, 52: 4, 100: 4}
-    # Four lists {100, 50}, led by component 50 on a tie, and four that 101 gives to component 1.
-    rows = [(k, d, 12, c) for k in range(8) for d, c in ((100, 1), (50, 50), *(((101, 1),) if k < 4 else ()))]
-    pairs = ngram_join._remaining(spark.createDataFrame(rows, "list long, doc long, n long, comp long")).collect()
-    assert [(r.x, r.y) for r in pairs] == [(50, 100)]
+def brute_components(rows):
+    sets = []
+    for _, t in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    comp, least = components(len(rows), pairs), {}
+    for (d, _), c in zip(rows, comp, strict=True):
+        least[c] = min((x for x in (d, least.get(c)) if x is not None), default=None)
+    return sorted(((d, len(s), least[c]) for (d, _), s, c in zip(rows, sets, comp, strict=True)), key=str)
+
+
+def test_ngram_join_of_copies_of_copies(spark, monkeypatch):
+    # Chains of edits: many nodes aren't like their leader, so they must find each other through the index.
+    monkeypatch.setattr(ngram_join, "BLOCK_ELEMENTS", 2000)
+    monkeypatch.setattr(ngram_join, "QUERIES", 8)
+    r, rows = random.Random(4), []
+    for g in range(3):
+        texts = [prose(60 + 40 * g, 900 + g)]
+        for k in range(120):
+            texts.append(edited(r.choice(texts), r.choice((0.01, 0.02, 0.03)), 5000 + 200 * g + k))
+        rows += [(g * 1000 + k, t) for k, t in enumerate(texts)]
+    r.shuffle(rows)
+    rows += [(None, rows[0][1] + " x"), (None, "nothing like any other text here"), (5, rows[9][1]), (5, "the same id with another text here")]
+    got = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute_components(rows)
 
 
 def test_divide_skip_is_exact():

@@ -202,4 +202,19 @@ def test_mixing(spark):
     again = mixing.mix(docs.repartition(7)).collect()
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in got)
     assert mixing.repeated(docs).count() == sum(r.copies for r in got)
+    assert {r.taken for r in mixing.repeated(docs).select("taken").collect()} == {5}
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mixing_of_repeated_rows_and_long_texts(spark):
+    long = "word " * 5000
+    rows = [(1, "a b c", "s", 7, 1)] * 50 + [(k, "a b c d", "s", 7, 2) for k in range(300)] + [(None, long, "t", 7, 3), (9, None, None, 7, 4), (9, "", None, 7, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, _size int")
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows) and {r._size for r in got} == {1, 2, 3, 4}
+    assert len({r.copies for r in got if r.doc_id == 1 and r.source == "s" and r.size == 3}) == 1
+    assert all(r.size == 0 and r.taken == 0 and r.copies == 1 for r in got if r.source is None)
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in ("s", "t")}
+    target = {r.source: r.target for r in got}
+    assert abs(taken["s"] - target["s"]) <= 160 and taken["t"] in (0, 5000, 10000, 15000)
+    assert {r.size for r in mixing.repeated(docs).select("size").collect()} == {7}

@@ -41,8 +41,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("uri"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
-    own = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).cast("long")
-    return warc.round_trip(pages).select(own("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("refers_to").isNotNull(), own("refers_to")).alias("refers_to"))
+    own = warc.page_id
+    return warc.round_trip(pages).select(own(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", own(F.col("refers_to")).alias("refers_to"))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

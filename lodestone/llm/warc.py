@@ -11,8 +11,10 @@ Reading: files are parsed by Content-Length, continuation records are grouped by
 against the total length; only segmented records are shuffled.  Truncated, missing or inconsistent segments give a row
 with a reason in `problem` and a null payload, never a wrong payload.
 
-A null payload is an empty one.  Rows need distinct ids (a repeated id gives the same record twice).  An empty table
-gives an empty archive and no rows.
+A null payload is an empty one.  Every row is a record of its own, with a record id of its page id and a number of its row:
+repeated rows are as many records (of equal ones with the largest id all are responses), and a null id stays null; it is
+smaller than any other.  A payload of any length is cut into segments.  Other columns are ignored.  An empty table gives
+an empty archive and no rows.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.llm._common import scratch_path, small_batches
+from lodestone.llm._common import released, scratch_path, small_batches, stored
 
 MIN_REVISIT, SEGMENT, CHUNK, RECORDS_PER_FILE = 1000, 32 * 1024, 4096, 4000
+#: Digests that are told to all tasks at most, and into how many groups one is split beyond.
+BROADCAST_ROWS, SALTS = 1_000_000, 64
 RECORD = T.StructType(
     [
         T.StructField("record_id", T.StringType()),
@@ -45,11 +49,19 @@ RECORD = T.StructType(
 
 
 def revisit_plan(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """id, payload -> also payload_bytes, payload_digest and, for what revisits another record, refers_to."""
+    """id, uri, payload -> also payload_bytes, payload_digest, `revisits` and refers_to (the response's id, of a revisit)."""
     sized = pages.select("id", "uri", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), F.sha2("payload", 256).alias("_same"))
-    groups = sized.filter(F.col("payload_bytes") >= min_bytes).groupBy("_same").agg(F.max("id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_same", "_first")
-    joined = sized.join(groups, "_same", "left").drop("_same")
-    return joined.withColumn("refers_to", F.when(F.col("_first") != F.col("id"), F.col("_first"))).drop("_first")
+    # Digests that occur again; payloads meet them by a broadcast where they are few, else in salted groups.
+    light = pages.select("id", F.octet_length("payload").alias("n"), F.sha2("payload", 256).alias("_key")).filter(F.col("n") >= min_bytes)
+    groups = stored(light.groupBy("_key").agg(F.max("id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_key", "_first"), "payloads")
+    if groups.count() <= BROADCAST_ROWS:
+        joined = sized.join(F.broadcast(groups), F.col("_same") == F.col("_key"), "left")
+    else:
+        spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = sized.withColumn("_own", F.pmod(F.xxhash64("id", "uri"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(spread, (F.col("_same") == F.col("_key")) & (F.col("_own") == F.col("_salt")), "left")
+    revisits = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col("id"))
+    return joined.select("id", "uri", "payload", "payload_bytes", "payload_digest", revisits.alias("revisits"), F.when(revisits, F.col("_first")).alias("refers_to"), F.monotonically_increasing_id().alias("row"))
 
 
 def _chunked(payload: bytes) -> bytes:
@@ -91,13 +103,22 @@ def _uri(text: str | None) -> str | None:
     return None if text is None else "".join(c if c > " " else "%%%02X" % ord(c) for c in text)
 
 
+def _record_id(page_id, row) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{row}>"
+
+
+def page_id(record_id: F.Column) -> F.Column:
+    """The page id in a record's id, or null."""
+    return F.regexp_extract(record_id, "^<urn:page:(-?[0-9]*)[:>]", 1).try_cast("long")
+
+
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for x in batch.to_pylist():
-            own = f"<urn:page:{x['id']}>"
+            own = _record_id(x["id"], x["row"])
             fields = [("WARC-Record-ID", own), ("WARC-Date", "2020-01-01T00:00:00Z"), ("WARC-Target-URI", _uri(x["uri"])), ("WARC-Payload-Digest", "sha1:" + x["payload_digest"])]
-            if x["refers_to"] is not None:
+            if x["revisits"]:
                 more = [("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{x['refers_to']}>"), ("X-Payload-Length", x["payload_bytes"]), ("Content-Length", 0)]
                 out.append(_header(more + fields))
                 continue
@@ -112,7 +133,7 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if k == 1:
                     head = [("WARC-Type", "response"), ("Content-Type", "application/http;msgtype=response"), *fields]
                 else:
-                    head = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{x['id']}:{k}>"), ("WARC-Date", "2020-01-01T00:00:00Z"), ("WARC-Segment-Origin-ID", own)]
+                    head = [("WARC-Type", "continuation"), ("WARC-Record-ID", _record_id(x["id"], f"{x['row']}:{k}")), ("WARC-Date", "2020-01-01T00:00:00Z"), ("WARC-Segment-Origin-ID", own)]
                 out.append(_header([*head, ("WARC-Segment-Number", k), last, ("Content-Length", len(piece))]) + piece)
         for at in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(out[at : at + 256], pa.binary())], names=["value"])

@@ -7,8 +7,10 @@ clipped linear functions (and their derivatives in training), which cost less th
 Training uses a sample of at most PER_LANGUAGE documents of each language and WINDOWS windows of each, spread over its
 whole text; the bound is a parameter, and the sample is the same on every run.  Prediction covers all bytes.
 
-A null text, and one without any letter, is `und` with score 0.  Documents without a known language can be predicted
-but not learned from; if nothing can be learned from, every document is `und`.  Repeated rows get equal predictions.
+A null text, and one without any letter (str.isalpha), is `und` with score 0.  Documents without a known language can be
+predicted but not learned from; if nothing can be learned from, every document is `und`.  Repeated rows get equal
+predictions; equally probable languages go by their order.  A very long text is read whole, in parts of bounded size.
+Input columns named lang_pred or score give way to the result's; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,10 +30,15 @@ from lodestone.llm._common import small_batches
 
 WINDOW, HIDDEN, WINDOWS, PER_LANGUAGE, BUCKETS = 96, 8, 8, 768, 256
 STEPS, BATCH, RATE = 400, 192, 0.02
-LETTER = re.compile(r"[^\W\d_]")
+WORD_SIGN = re.compile(r"[^\W\d_]")
 ROWS_AT_ONCE = 2048
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; ½, ² and ① are word characters but aren't."""
+    return any(m[0].isalpha() for m in WORD_SIGN.finditer(text))
+
+
 def held_out(doc_id: F.Column) -> F.Column:
     """Documents that training never sees: crc32 of the id as text, modulo 4, is 2.  A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -195,7 +202,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     for r in sample:
         for piece in dict.fromkeys(r["pieces"]):
             data = piece.encode("utf-8", "surrogatepass")[:WINDOW]
-            if data and LETTER.search(piece):
+            if data and has_letter(piece):
                 windows.append(np.frombuffer((data * (WINDOW // len(data) + 1))[:WINDOW], np.uint8))
                 labels.append(languages.index(r["lang"]))
     if not windows:
@@ -210,7 +217,7 @@ def _predict(net: Network | None):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
-            live = [k for k, t in enumerate(texts) if net is not None and t and LETTER.search(t)]
+            live = [k for k, t in enumerate(texts) if net is not None and t and has_letter(t)]
             at = 0
             while at < len(live):  # a bounded number of bytes at a time
                 to, held = at, 0

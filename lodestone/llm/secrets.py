@@ -2,20 +2,24 @@
 
 A candidate is a long mixed string near a sensitive word, taken whole however long; the following and preceding lines of
 a key are near through it.  Its marginal cost is what a zstandard frame grows by when
-the candidate follows its surrounding text, with a dictionary of ordinary code and identifiers plus that surrounding
-text as history.  Words and identifiers compress against the dictionary; random keys don't.
+the candidate follows its surrounding text, with a dictionary of identifiers as history: fixed words of code, the most
+frequent identifiers of the scanned table itself (a bounded list, counted over all documents; words that mix letters
+and digits inside aren't learnt, so no secret can be, however often it is copied), and the surrounding text.
+Words and identifiers compress against the dictionary; random keys don't.
 
 Rows: one per document.  A null text is an empty one; an empty text has no span and the digest of the empty string.
-Repeated rows are scanned each on their own; other columns of the input are kept as they are unless they clash with a
-result column, which replaces them.
+Work is linear in a text's length, whatever it holds.  Repeated rows are scanned each on their own, ties of spans go by
+kind as listed; other columns of the input are kept as they are unless they clash with a result column, which replaces
+them in scan_secrets(); mask_secrets() changes nothing but text and n_chars.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +40,7 @@ KEYWORD = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(r"passw|secret|token|api.?key|credential|bearer|private.?key|auth", re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 #: Between the lines of one key, and its last line.
 GAP = re.compile(r"[^A-Za-z0-9]{1,96}", re.ASCII)
 TAIL = re.compile(r"""["']?(?:\r?\n|\\(?=n))[\x20\t]*["']?([A-Za-z0-9+/_=-]+)["']?[\x20\t]*(?=\r?\n|\\|\Z)""", re.ASCII)
@@ -49,6 +53,8 @@ DICTIONARY = (
     b"get_set_value user_name file_path data_table index_number getElementById toString camelCaseIdentifier snake_case_identifier "
 )
 CONTEXT, LEAST_NOVELTY = 96, 0.55
+#: Identifiers that are learnt from the table at most, and what one looks like: digits only at its end.
+LEARNT, IDENTIFIER = 2048, "^[A-Za-z_]{4,30}[0-9]{0,2}$"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -64,11 +70,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(start, end, KINDS[kind]) for start, kind, end in found]
 
 
-def novelty(before: bytes, candidate: bytes, after: bytes) -> float:
+def identifiers(docs: DataFrame, most: int = LEARNT) -> bytes:
+    """The most frequent identifiers of all texts, rarer ones first (later bytes of a dictionary cost less to name)."""
+    words = docs.select(F.explode(F.split(F.col("text").cast("string"), "[^A-Za-z0-9_]+")).alias("w")).filter(F.col("w").rlike(IDENTIFIER))
+    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "w").limit(most).collect()
+    return " ".join(r["w"] for r in reversed(top)).encode()
+
+
+def novelty(before: bytes, candidate: bytes, after: bytes, learnt: bytes = b"") -> float:
     """Bytes that a zstandard frame grows by for the candidate, for each of its bytes."""
     import zstandard
 
-    primed = zstandard.ZstdCompressionDict(DICTIONARY + after + b"\n" + before, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    primed = zstandard.ZstdCompressionDict(learnt + b" " + DICTIONARY + after + b"\n" + before, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     press = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False)
     return (len(press.compress(candidate)) - len(press.compress(b""))) / max(1, len(candidate))
 
@@ -78,7 +91,7 @@ def _near(words: list[int], start: int, end: int) -> bool:
     return k < len(words) and words[k] < end + CONTEXT
 
 
-def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def novel_spans(text: str, known: list[tuple[int, int, str]], learnt: bytes = b"") -> list[tuple[int, int, str]]:
     """What no base span covers of the whole candidates that don't compress, in a sensitive context or next to such a one."""
     words = [m.start() for m in SENSITIVE.finditer(text)]
     if not words:
@@ -90,7 +103,7 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
         if k not in secret:
             start, end = runs[k]
             piece = text[start:end]
-            secret[k] = any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece) and novelty(text[max(0, start - CONTEXT) : start].encode(), piece.encode(), text[end : end + CONTEXT].encode()) >= LEAST_NOVELTY
+            secret[k] = any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece) and novelty(text[max(0, start - CONTEXT) : start].encode("utf-8", "surrogatepass"), piece.encode(), text[end : end + CONTEXT].encode("utf-8", "surrogatepass"), learnt) >= LEAST_NOVELTY
         return secret[k]
 
     def adjoin(k: int) -> bool:
@@ -107,8 +120,10 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
         if k - 1 in held and adjoin(k - 1) and k + 1 not in held and (m := TAIL.match(text, runs[k][1])) and m.end(1) - m.start(1) <= runs[k][1] - runs[k][0]:
             spans.append(m.span(1))
     found = []
+    begins, reach = [s[0] for s in known], list(accumulate((s[1] for s in known), max))
     for start, end in sorted(spans):
-        over = sorted(s for s in known if s[0] < end and start < s[1])
+        # Base spans stand by start; those before the first that reaches beyond the candidate's start end before it.
+        over = [s for s in known[bisect_right(reach, start) : bisect_left(begins, end)] if s[1] > start]
         at = start
         for low, high, kind in [*over, (end, end, "")]:
             # What stands before an assignment's word is the rest of its name.
@@ -118,9 +133,9 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
     return found
 
 
-def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+def all_spans(text: str, learnt: bytes = b"") -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     base = base_spans(text)
-    more = novel_spans(text, base)
+    more = novel_spans(text, base, learnt)
     return base, sorted([*base, *more], key=lambda s: (s[0], KINDS.index(s[2]), s[1])) if more else base
 
 
@@ -143,13 +158,13 @@ RESULT = T.StructType(
 )
 
 
-def _scan(with_mask: bool):
+def _scan(with_mask: bool, learnt: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: list[list[int]] = [[], [], [], []]
             digests, spans, texts = [], [], []
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-                base, every = all_spans(text or "")
+                base, every = all_spans(text or "", learnt)
                 kinds = [s[2] for s in every]
                 for k, kind in enumerate(KINDS):
                     counts[k].append(kinds.count(kind))
@@ -173,14 +188,15 @@ def scan_secrets(docs: DataFrame, with_mask: bool = False) -> DataFrame:
     made = {f.name for f in RESULT}
     keep = [f for f in docs.schema if f.name not in made and (with_mask or f.name != "text")]
     source = docs.select(*[F.col(f"`{f.name}`") for f in docs.schema if f.name not in made])
-    return source.mapInArrow(_scan(with_mask), T.StructType([*keep, *RESULT]))
+    # At most LEARNT words go with every task.
+    return source.mapInArrow(_scan(with_mask, identifiers(docs)), T.StructType([*keep, *RESULT]))
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """docs with every secret replaced by a mask and n_chars, where there is one, counted again; no document goes."""
-    names = docs.columns
-    out = scan_secrets(docs, with_mask=True).withColumn("text", F.col("masked_text"))
-    if "n_chars" in names:
-        changed = F.col("spans") != ""
-        out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held"), F.col("text").cast("string").alias("text"))
+    out = scan_secrets(held, with_mask=True)
+    changed = {"text": F.col("masked_text").cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("spans") != "", F.char_length("masked_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("held.n_chars"))
+    return out.select(*[changed.get(c, F.col("held").getField(c)).alias(c) for c in docs.columns])

@@ -66,10 +66,10 @@ def test_warc_round_trip(spark):
     big, same = ("é" * 40_000 + "\r\n\r\nWARC/1.1\r\n") * 2, "x" * 1500
     rows = [(1, "http://a/1", big), (2, "http://a/2", same), (3, None, same), (4, "http://a b/ü", "short"), (5, "", "short"), (6, "u", ""), (7, "u", same)]
     pages = frame(spark, [(a, b, bytearray(c.encode())) for a, b, c in rows], "id long, uri string, payload binary")
-    got = {r.record_id: r for r in warc.round_trip(pages).collect()}
+    got = {int(r.record_id.split(":")[2]): r for r in warc.round_trip(pages).collect()}
     assert len(got) == 7
     for i, _, text in rows:
-        r = got[f"<urn:page:{i}>"]
+        r = got[i]
         assert r.problem is None and r.payload_digest == hashlib.sha1(text.encode()).hexdigest() and r.payload_bytes == len(text.encode())
         if i in (2, 3):
             assert (r.record_type, r.refers_to, r.payload) == ("revisit", "<urn:page:7>", None)
@@ -78,6 +78,20 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [10, 0])
+def test_warc_of_repeated_and_null_ids(spark, monkeypatch, tmp_path, limit):
+    from lodestone.llm.queries import op6_warc
+
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", limit)
+    big, same, alone = "b" * 100_000, "s" * 2000, "n" * 1000
+    rows = [(4, "u", big, "x"), (4, "u", big, "x"), (None, "u", same, "y"), (2, "u", same, "y"), (None, "u", alone, "z"), (None, "u", alone, "z"), (5, None, None, None), (-3, "u", "tiny", "x")]
+    frame(spark, rows, "page_id long, url string, html string, record_type string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.payload_digest) for r in op6_warc(spark, str(tmp_path)).collect()), key=str)
+    d = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    wanted = [(4, 100_000, "response", None, d(big))] * 2 + [(None, 2000, "revisit", 2, d(same)), (2, 2000, "response", None, d(same))] + [(None, 1000, "response", None, d(alone))] * 2 + [(5, 0, "response", None, d("")), (-3, 4, "response", None, d("tiny"))]
+    assert got == sorted(wanted, key=str)
+
+
 def test_broken_segments_give_reasons_not_payloads(spark):
     parts = [("<o>", "response", None, None, None, None, 1, None, bytearray(b"abc"), None), ("<o:3>", "continuation", None, None, None, "<o>", 3, 6, bytearray(b"def"), None)]
     short = [("<p>", "response", None, None, None, None, 1, None, bytearray(b"abc"), None), ("<p:2>", "continuation", None, None, None, "<p>", 2, 7, bytearray(b"def"), None)]
@@ -159,7 +173,7 @@ def test_language(spark):
 
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     net = langid.train(docs, per_language=256)
-    odd = frame(spark, [(-1, None), (-2, ""), (-3, "123 !!! ..."), (-4, "x")], "doc_id long, text string")
+    odd = frame(spark, [(-1, None), (-2, ""), (-3, "123 !!! ... ½ ² ①"), (-4, "x")], "doc_id long, text string")
     got = langid.predict(docs.select("doc_id", "text").unionByName(odd), net).withColumn("held", langid.held_out(F.col("doc_id"))).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
     assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id in (-1, -2, -3))
     held = [r for r in got if r.held and r.lang and len(re.findall(r"\w", r.text)) > 40]
@@ -168,6 +182,54 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_edges(spark):
+    net = langid.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), per_language=16)
+    rows = [(1, "the house and the river", "a", 7), (1, "the house and the river", "b", 8), (None, "x" * 300_000, "c", 9), (2, "½ ² ① _ 1", "d", 10)]
+    got = langid.predict(frame(spark, rows, "doc_id long, text string, lang_pred string, score int"), net).collect()
+    assert [r.score for r in got if r.doc_id == 1][0] == [r.score for r in got if r.doc_id == 1][1] > 0
+    assert [(r.lang_pred, r.score) for r in got if r.doc_id == 2] == [("und", 0.0)] and len(got) == 4
+    assert langid.predict(frame(spark, [], "doc_id long, text string"), net).count() == 0
+
+
+def test_planted_secrets_by_brute_force(spark):
+    """Base spans by a plain re-statement of the patterns; planted keys found, and identifiers left alone."""
+    r = random.Random(3)
+    names = ["get_user_profile_name", "configuration_manager", "authenticated_session_handler", "request_token_validator"]
+    texts, planted = [], {}
+    for k in range(200):
+        words = [r.choice(WORDS + names) for _ in range(60)]
+        key = "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(r.choice((16, 20, 32, 44))))
+        if k % 4 == 0:
+            words.insert(30, "the bearer credential is " + key)
+            planted[k] = key
+        if k % 5 == 0:
+            words.insert(10, f"api_key = '{r.randrange(16**12):012x}' AKIA" + "Q" * 17 + f" {r.randrange(16**30):030x}")
+        if k % 7 == 0:
+            words.insert(5, "auth " + r.choice(names) + "2")
+        texts.append(" ".join(words))
+    got = {x.doc_id: x for x in secrets.scan_secrets(frame(spark, list(enumerate(texts)), "doc_id long, text string")).collect()}
+    hits = wrong = 0
+    for k, text in enumerate(texts):
+        plain = []
+        for kind, (pattern, group, least) in {"assign": (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 6), "access": ("AKIA[A-Z0-9]+", 0, 20), "hex": ("[0-9a-f]+", 0, 24)}.items():
+            plain += [(m.start(), ["assign", "access", "hex"].index(kind), m.end(), kind) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+        joined = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(plain))
+        assert got[k].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        novel = [text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in got[k].spans.split(",") if s.startswith("novel")]
+        hits += planted.get(k) in novel
+        wrong += sum(n != planted.get(k) for n in novel)
+    assert hits >= 0.95 * len(planted) and wrong <= 0.05 * len(planted)
+
+
+def test_secret_scan_is_linear_in_the_text():
+    import time
+
+    text = "\n".join(f"token = '{random.Random(k).randrange(16**30):030x}'" for k in range(4000))
+    began = time.process_time()
+    secrets.all_spans(text)
+    assert time.process_time() - began < 20 and len(secrets.base_spans(text)) == 8000
+
+
 def test_gradients_by_finite_differences():
     import numpy as np
 

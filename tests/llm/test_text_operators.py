@@ -146,7 +146,7 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     rows = [(k, prose(random.Random(k).randrange(1, 900), k)) for k in range(40)] + [(100, None), (101, ""), (102, "a  b\n c <|endoftext|> é  "), (103, prose(4000, 9)), (103, "again")]
-    got = packing.pack(packing.token_pieces(frame(spark, rows, "doc_id long, text string"), **tokenizer_files()), island=32).collect()
+    got = packing.pack(packing.token_pieces(frame(spark, rows, "doc_id long, text string"), **tokenizer_files()), group=32).collect()
     known = Tokenizer.from_file(tokenizer_files()["json_file"])
     wanted = []
     for d, t in rows:
@@ -168,6 +168,44 @@ def test_packing(spark):
     assert packing.pack(packing.token_pieces(frame(spark, [], "doc_id long, text string"), **tokenizer_files())).count() == 0
 
 
+#: Orders of fixed sizes that fill bins of 100 exactly, though best-fit decreasing needs one bin more.
+TRIPLETS = [[44, 30, 26], [41, 33, 26], [47, 28, 25], [38, 35, 27], [36, 34, 30], [45, 31, 24], [40, 32, 28], [43, 29, 28], [37, 36, 27], [39, 35, 26]]
+
+
+def test_genetic_algorithm_beats_best_fit(spark):
+    sizes = sorted((x for t in TRIPLETS for x in t), reverse=True)
+    assert sum(sizes) == 1000 and len(packing.best_fit(list(range(30)), sizes, 100)) > 10
+    groups = frame(spark, [(g, sizes) for g in range(3)], "group long, lengths array<int>")
+    found = packing.best_packings(groups, 100, islands=3, migrations=6, population=8, generations=150).collect()
+    assert len(found) == 3 and min(max(r.numbers) + 1 for r in found) == 10
+    for r in found:
+        assert all(sum(sizes[i] for i in b) <= 100 for b in packing.as_bins(r.numbers))
+
+
+def test_islands_never_get_worse_and_elites_move():
+    r = random.Random(2)
+    sizes = [r.randrange(300, 1200) for _ in range(120)]
+    alive = packing.first_packings(sizes, 2048, r, 5)
+    before = max(packing.quality(b, sizes, 2048) for b in alive)
+    after = packing.evolve(sizes, 2048, r, alive, 200)
+    assert packing.quality(after[0], sizes, 2048) > before
+    assert all(sorted(i for b in p for i in b) == list(range(120)) for p in after)
+    import pyarrow as pa
+
+    # A visitor better than an island's own individuals becomes its elite.
+    poor = [[i // 2 for i in range(120)]] * 2
+    row = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([1], pa.int32()), pa.array([sizes], pa.list_(pa.int32())), pa.array([poor], pa.list_(pa.list_(pa.int32()))), pa.array([packing.as_numbers(after[0], 120)], pa.list_(pa.int32()))], names=["group", "island", "lengths", "alive", "visitor"])
+    (out,) = packing._island(2048, 1, 2, 0)(iter([row]))
+    assert out.column(4).to_pylist() == [len(after[0])]
+
+
+def test_packing_of_null_and_repeated_ids(spark):
+    big = 2**60 + 1
+    rows = [(big, "same words"), (big, "same words"), (None, "no id"), (big + 1, "x")]
+    got = packing.pack(packing.token_pieces(frame(spark, rows, "doc_id long, text string"), **tokenizer_files())).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(d) for d, _ in rows) and len({(r.sequence_id, r.offset) for r in got}) == 4
+
+
 def test_language(spark):
     from pyspark.sql import functions as F
 

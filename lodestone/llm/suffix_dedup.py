@@ -2,20 +2,24 @@
 
 What counts as a match is a byte string of LENGTH bytes that starts somewhere else too.  Every such string contains an
 anchor: the 64-byte piece of smallest hash in it, the leftmost of equal ones, which depends on the string alone.  So the
-suffixes that begin at anchors (about one in seventy) stand for all of them: equal strings have equal suffix heads at
-equal offsets.  Each start belongs to one anchor; an anchor's context is the text that its starts' strings cover.
-
-Documents come in batches.  A batch's suffix array is its anchors in the order of their heads (leading bytes, then the
-hash of all 64), with context hash, document and position.  It is merge-scanned by itself and against every existing
-level, which finds the heads that occur again; then it becomes a level of its own, and levels of equal size merge, so a
-head takes part in as many merges as the logarithm of the number of batches.  Suffixes whose head occurs once drop out.
-
-Of the others, equal contexts are matches as a whole.  Where contexts of one head differ, they are matches in part: the
-texts are read again and the hash of each of their strings is compared, in the head's partition or, for heads with
-very many contexts, spread by the string's own hash.  All matches of a document are united at last.
+suffixes that begin at anchors (about one in seventy) stand for all of them: equal strings have equal suffix heads (the
+first 64 bytes) at equal offsets.  Each start belongs to one anchor; an anchor's context is the text that its starts' strings cover.
+
+1. Equal texts are collapsed: each is a match of the others as a whole, and one of them is indexed.
+2. A task's texts, some 20 MB at a time, are a batch.  Its suffix array is its anchors in the lexicographic order of their
+   heads.  Anchors of a batch with equal heads and contexts are matches at once, and only one of them goes on.
+3. Suffixes are dealt by head.  In each partition a family of levels takes in one batch after the other: a batch's sorted heads are
+   scanned by themselves and against every level, neighbours that agree in all 64 bytes are long matches, and levels
+   of equally many batches merge, so a head takes part in as many merges as the logarithm of the number of batches.
+4. Of suffixes whose head occurs again, equal contexts are matches as a whole.  Where contexts of one head differ, their bytes are fetched,
+   and a suffix array of all their positions, sorted to a depth of LENGTH by doubling, has strings that
+   occur twice as neighbours with a common prefix of LENGTH.  A head with more than SPLIT contexts is compared by the hashes of
+   its strings, spread over all tasks.  All matches of a document are united at last.
 
 Matches are judged on the input; the same document counts, overlaps count, matches never cross documents.  A null text
-is an empty one: nothing is removed.  Equal rows are two documents.  An empty table gives no rows.
+is an empty one: nothing is removed.  Equal rows are two documents, whatever their ids; a null doc_id stays null.  Of equal
+heads or contexts none is preferred.  Very long texts are cut at no place.  Extra columns are ignored, whatever their
+names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm._common import partitions, small_batches, stored
+from lodestone.llm._common import forget, partitions, released, small_batches, stored
 
-LENGTH, PIECE, BATCHES = 200, 64, 4
+LENGTH, PIECE = 200, 64
 STARTS = LENGTH - PIECE + 1  # pieces in a string
-SPLIT = 50_000  # contexts of one head that one task compares
-BROADCAST_DOCS, BROADCAST_MB = 400_000, 48
+SPLIT = 8_000  # contexts of one head that one task compares
+BATCH = 300_000  # suffixes of a batch
+BROADCAST_MB = 32
 BYTES32 = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 BYTES64 = np.random.default_rng(6).integers(0, 1 << 63, 256, dtype=np.uint64)
 FACTOR32, FACTOR64 = 0x9E3779B1, 0x9E3779B97F4A7C15
@@ -90,35 +95,49 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return a[first], at[first], at[np.append(first[1:], len(at)) - 1]
 
 
-FIELDS = (("key", np.uint64), ("ctx", np.uint64), ("rid", np.int64), ("pos", np.int32), ("left", np.int16), ("right", np.int16))
-RUN = "batch int, p int, " + ", ".join(f"{n} binary" for n, _ in FIELDS)
+HEAD = np.dtype(f"S{PIECE}")  # all heads are PIECE bytes long, so padding tells none apart
+FIELDS = (("head", HEAD), ("ctx", np.uint64), ("rid", np.int64), ("pos", np.int32), ("left", np.int16), ("right", np.int16))
+RUN = "p int, " + ", ".join(f"{n} binary" for n, _ in FIELDS)
+
+
+def _alike(a: np.ndarray) -> np.ndarray:
+    """For each element of a sorted array, whether it equals the one before."""
+    return np.append(False, a[1:] == a[:-1])[: len(a)]
 
 
-def _pack(columns: list[np.ndarray], batch: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-    """A row for each batch and partition, with its part of every column as bytes."""
-    order = np.lexsort((p, batch))
-    batch, p, columns = batch[order], p[order], [c[order] for c in columns]
-    new = np.ones(len(p), bool)
-    new[1:] = (p[1:] != p[:-1]) | (batch[1:] != batch[:-1])
-    at = np.flatnonzero(new)
+def _batch(columns: list[np.ndarray], parts: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """A batch's suffix array, cut by partition; anchors that equal another in head and context are settled (a row with an empty head)."""
+    order = np.argsort(columns[0], kind="stable")
+    order = order[np.lexsort((columns[1][order], np.cumsum(~_alike(columns[0][order]))))]
+    columns = [c[order] for c in columns]
+    again = _alike(columns[0]) & _alike(columns[1])
+    group = np.cumsum(~again)
+    settled = np.bincount(group)[group] > 1
+    # The first of alike anchors stands for them in the index.
+    first = [c[~again] for c in columns]
+    p = np.frombuffer(first[0].tobytes(), np.uint64).reshape(-1, PIECE // 8) @ (np.arange(1, PIECE // 8 + 1, dtype=np.uint64) * np.uint64(FACTOR64))
+    p = ((p ^ (p >> np.uint64(33))) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(p, kind="stable")
+    p, first = p[order], [c[order] for c in first]
+    at = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
     bounds = list(zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(batch[at].astype(np.int32)), pa.array(p[at].astype(np.int32)), *(pa.array([c[a:b].tobytes() for a, b in bounds], pa.binary()) for c in columns)], names=["batch", "p", *(n for n, _ in FIELDS)]
-    )
+    names = ["p", *(n for n, _ in FIELDS)]
+    yield pa.RecordBatch.from_arrays([pa.array(p[at]), *(pa.array([c[a:b].tobytes() for a, b in bounds], pa.binary()) for c in first)], names=names)
+    if settled.any():
+        rows = [c[settled] for c in columns[2:]]
+        yield pa.RecordBatch.from_arrays([pa.array([turn % parts], pa.int32()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), *(pa.array([c.tobytes()], pa.binary()) for c in rows)], names=names)
 
 
-def _suffixes(parts: int, batches_wanted: int):
-    """rid, text -> packed anchors by batch and partition."""
+def _suffixes(parts: int, batch: int):
+    """rid, text -> the batches' suffix arrays, packed by partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        head_of, held, size = xxhash.xxh3_64_intdigest, [], 0
+        digest, held, size, turn = xxhash.xxh3_64_intdigest, [], 0, 0
 
-        def flush():
-            columns = [np.concatenate([h[k] for h in held]) for k in range(len(FIELDS))]
-            batch = (columns[2].view(np.uint64) >> np.uint64(20)) % np.uint64(batches_wanted)
-            return _pack(columns, batch, (columns[0] & np.uint64(0xFFFFFFFF)) % np.uint64(parts))
+        def columns():
+            return [np.concatenate([h[k] for h in held]) for k in range(len(FIELDS))]
 
         for part in batches:
             rids, texts = part.column(0).to_numpy(), [t.encode("utf-8", "surrogatepass") for t in part.column(1).to_pylist()]
@@ -134,131 +153,100 @@ def _suffixes(parts: int, batches_wanted: int):
                 starts = ends - sizes
                 a, first, last = anchors(np.frombuffer(joined, np.uint8), starts, ends)
                 if len(a):
-                    al, fl, ll = a.tolist(), first.tolist(), last.tolist()
-                    hashes = np.array([head_of(joined[x : x + PIECE]) for x in al], np.uint64)
-                    lead = np.frombuffer(b"".join([joined[x : x + 4] for x in al]), ">u4").astype(np.uint64)
-                    ctx = np.array([head_of(joined[f : e + LENGTH], x - f) for f, e, x in zip(fl, ll, al, strict=True)], np.uint64)
+                    heads = np.frombuffer(b"".join([joined[x : x + PIECE] for x in a.tolist()]), HEAD)
+                    ctx = np.array([digest(joined[f : e + LENGTH], x - f) for f, e, x in zip(first.tolist(), last.tolist(), a.tolist(), strict=True)], np.uint64)
                     doc = np.searchsorted(ends, a, side="right")
-                    held.append(((lead << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF)), ctx ^ (hashes >> np.uint64(32) << np.uint64(32)), rids[at:to][doc], (a - starts[doc]).astype(np.int32), (a - first).astype(np.int16), (a - last).astype(np.int16)))
+                    held.append((heads, ctx, rids[at:to][doc], (a - starts[doc]).astype(np.int32), (a - first).astype(np.int16), (a - last).astype(np.int16)))
                     size += len(a)
                 at = to
-                if size > 300_000:
-                    yield flush()
+                if size > batch:
+                    turn += 1 + int(held[0][2][0]) % 997
+                    yield from _batch(columns(), parts, turn)
                     held, size = [], 0
         if held:
-            yield flush()
+            yield from _batch(columns(), parts, turn + 1 + int(held[0][2][0]) % 997)
+        released()
 
     return run
 
 
-def _unpacked(rows: list[dict]) -> list[np.ndarray]:
-    return [np.concatenate([np.frombuffer(r[n], kind) for r in rows]) for n, kind in FIELDS]
-
-
-def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The packed anchors of a partition -> for each batch its suffix array there."""
-    by_batch: dict[tuple[int, int], list[dict]] = {}
-    for part in batches:
-        for r in part.to_pylist():
-            by_batch.setdefault((r["batch"], r["p"]), []).append(r)
-    for (batch, p), rows in sorted(by_batch.items()):
-        columns = _unpacked(rows)
-        order = np.lexsort((columns[1], columns[0]))
-        columns = [c[order] for c in columns]
-        yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int32()), pa.array([p], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], names=["batch", "p", *(n for n, _ in FIELDS)])
-
-
-def _keys(data) -> np.ndarray:
-    return np.frombuffer(data or b"", np.uint64)
-
-
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A batch's suffix array -> its distinct heads, and those that occur again in it (neighbours in the array)."""
-    for part in batches:
-        heads, again = [], []
-        for data in part.column(1).to_pylist():
-            k = _keys(data)
-            same = k[1:] == k[:-1]
-            heads.append(k[np.append(True, ~same)[: len(k)]].tobytes())
-            again.append(np.unique(k[1:][same]).tobytes())
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(heads, pa.binary()), pa.array(again, pa.binary())], names=["p", "heads", "again"])
-
-
-def _paired(f):
-    """p, heads, other: two sorted arrays of heads -> one, by f."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            made = [f(_keys(a), _keys(b)).tobytes() for a, b in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=["p", "heads"])
-
-    return run
-
-
-def _with(one: DataFrame, two: DataFrame, how: str) -> DataFrame:
-    return one.select("p", "heads").join(two.select("p", F.col("heads").alias("other")), "p", how)
-
-
 class IndexFamily:
-    """Levels of sorted heads; a batch is scanned against all of them and then joins them."""
+    """Levels of sorted distinct heads; a batch is scanned against all of them and then joins them."""
 
     def __init__(self):
-        self.levels: list[tuple[int, DataFrame]] = []  # (batches in it, table of p and heads)
-        self.repeated: list[DataFrame] = []  # tables of p and heads that occur more than once
-
-    def insert(self, run: DataFrame) -> None:
-        """run: p and key of a batch's suffix array."""
-        small_batches(run.sparkSession, 16)
-        own = stored(run.select("p", "key").mapInArrow(_within, "p int, heads binary, again binary"), "heads")
-        self.repeated.append(own.select("p", F.col("again").alias("heads")))
+        self.levels: list[tuple[int, np.ndarray]] = []  # (batches in it, heads)
+        self.repeated: list[np.ndarray] = []
+
+    def insert(self, heads: np.ndarray) -> None:
+        """heads: a batch's, in order."""
+        same = _alike(heads)
+        self.repeated.append(heads[same])
+        heads = heads[~same]
         for _, level in self.levels:
-            self.repeated.append(stored(_with(own, level, "inner").mapInArrow(_paired(lambda a, b: np.intersect1d(a, b, assume_unique=True)), "p int, heads binary"), "matches"))
-        new = (1, own.select("p", "heads"))
+            # A head's neighbours in the merged order: the one it would stand before is the only one that can agree in full.
+            at = np.minimum(np.searchsorted(level, heads), len(level) - 1)
+            self.repeated.append(heads[level[at] == heads])
+        new = (1, heads)
         while self.levels and self.levels[-1][0] == new[0]:
             count, level = self.levels.pop()
-            new = (count + new[0], stored(_with(level, new[1], "full").mapInArrow(_paired(np.union1d), "p int, heads binary"), "level"))
-        self.levels.append(new)
+            merged = np.sort(np.concatenate([level, new[1]]), kind="stable")  # of two sorted runs: a linear merge
+            new = (count + new[0], merged[~_alike(merged)])
+        if len(new[1]):
+            self.levels.append(new)
 
+    def matches(self) -> np.ndarray:
+        """The heads that occurred more than once, in order."""
+        return np.unique(np.concatenate(self.repeated)) if self.repeated else np.zeros(0, HEAD)
 
-def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A suffix array with the repeated heads of its partition -> the part of it that has them."""
-    for part in batches:
-        for r in part.to_pylist():
-            repeated = np.unique(np.concatenate([_keys(x) for x in r.pop("repeated") or [b""]]))
-            columns = _unpacked([r])
-            if not len(repeated) or not len(columns[0]):
+
+JUDGED = "p int, what int, rid long, a long, b long"
+
+
+def _judged(p: int, what: np.ndarray, rid: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rid), 50_000):
+        w = slice(at, at + 50_000)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rid[w]), p, np.int32)), pa.array(what[w].astype(np.int32)), pa.array(rid[w]), pa.array(a[w].astype(np.int64)), pa.array(b[w].astype(np.int64))], names=["p", "what", "rid", "a", "b"])
+
+
+def _family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A partition's suffix arrays -> matches as a whole (what 0), and contexts to compare (1; 2: of heads with very many)."""
+    family, runs, part = IndexFamily(), [], 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            columns = [np.frombuffer(row[n], kind) for n, kind in FIELDS]
+            if not len(columns[0]):  # settled
+                _, _, rid, pos, left, right = columns
+                yield from _judged(row["p"], np.zeros(len(rid), np.int32), rid, pos.astype(np.int64) - left, pos.astype(np.int64) - right + LENGTH)
                 continue
+            part = row["p"]
+            family.insert(columns[0])
+            runs.append(columns)
+    repeated = family.matches()
+    if len(repeated):
+        live = []
+        for columns in runs:
             at = np.minimum(np.searchsorted(repeated, columns[0]), len(repeated) - 1)
             hit = repeated[at] == columns[0]
-            if hit.any():
-                yield pa.RecordBatch.from_arrays([pa.array([r["batch"]], pa.int32()), pa.array([r["p"]], pa.int32()), *(pa.array([c[hit].tobytes()], pa.binary()) for c in columns)], names=["batch", "p", *(n for n, _ in FIELDS)])
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's suffixes with repeated heads -> matches as a whole (what 0), and contexts to compare (1; 2: of heads with very many)."""
-    rows = [r for part in batches for r in part.to_pylist()]
-    if not rows:
-        return
-    key, ctx, rid, pos, left, right = _unpacked(rows)
-    order = np.lexsort((ctx, key))
-    key, ctx, rid, pos, left, right = (c[order] for c in (key, ctx, rid, pos.astype(np.int64), left.astype(np.int64), right.astype(np.int64)))
-    new_key = np.append(True, key[1:] != key[:-1])
-    new_ctx = new_key | np.append(True, ctx[1:] != ctx[:-1])
-    ctx_no, key_no = np.cumsum(new_ctx) - 1, np.cumsum(new_key) - 1
-    alike = np.bincount(ctx_no)[ctx_no]
-    kinds = np.bincount(key_no, new_ctx.astype(np.int64)).astype(np.int64)[key_no]
-    whole = np.flatnonzero(alike > 1)
-    compare = np.flatnonzero((kinds > 1) & new_ctx)  # a context that occurs more than once is compared once
-    take = np.concatenate([whole, compare])
-    what = np.concatenate([np.zeros(len(whole), np.int32), np.where(kinds[compare] > SPLIT, 2, 1).astype(np.int32)])
-    p = np.full(len(take), rows[0]["p"], np.int32)
-    for at in range(0, len(take), 50_000):
-        t, w = take[at : at + 50_000], slice(at, at + 50_000)
-        yield pa.RecordBatch.from_arrays([pa.array(p[w]), pa.array(what[w]), pa.array(rid[t]), pa.array((pos - left)[t]), pa.array((pos - right)[t] + LENGTH)], names=["p", "what", "rid", "a", "b"])
+            live.append([at[hit], *(c[hit] for c in columns[1:])])
+        key, ctx, rid, pos, left, right = (np.concatenate(c) for c in zip(*live, strict=True))
+        order = np.lexsort((ctx, key))
+        key, ctx, rid, pos, left, right = (c[order] for c in (key, ctx, rid, pos.astype(np.int64), left.astype(np.int64), right.astype(np.int64)))
+        new_key = ~_alike(key)
+        new_ctx = new_key | ~_alike(ctx)
+        ctx_no, key_no = np.cumsum(new_ctx) - 1, np.cumsum(new_key) - 1
+        alike = np.bincount(ctx_no)[ctx_no]
+        kinds = np.bincount(key_no, new_ctx.astype(np.int64)).astype(np.int64)[key_no]
+        whole = np.flatnonzero(alike > 1)
+        compare = np.flatnonzero((kinds > 1) & new_ctx)  # a context that occurs more than once is compared once
+        take = np.concatenate([whole, compare])
+        what = np.concatenate([np.zeros(len(whole), np.int32), np.where(kinds[compare] > SPLIT, 2, 1).astype(np.int32)])
+        yield from _judged(part, what, rid[take], (pos - left)[take], (pos - right)[take] + LENGTH)
+    released()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """rid, text, asked (p, what, a, b) -> the contexts' bytes, or for split heads the hash of each string in them."""
+    names, kinds = ["p", "rid", "a", "piece", "h"], [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
     for part in batches:
         out: list[tuple] = []
         for rid, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
@@ -269,8 +257,46 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out.append((x["p"], rid, x["a"], piece, None))
                 else:
                     out += [(0, rid, x["a"] + k, None, h) for k, h in enumerate(_grams(np.frombuffer(piece, np.uint8), LENGTH, True).view(np.int64).tolist())]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=["p", "rid", "a", "piece", "h"])
+                if len(out) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
+                    out = []
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
+    released()
+
+
+def ranks_to_depth(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+    """The rank of every position's suffix among all, by its first `depth` bytes (at least 4): equal ranks, equal bytes.
+
+    Prefix doubling: ranks by 4 bytes, then 8, 16 and so on from pairs of ranks.  Beyond the end stand zeros.
+    """
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
+    n = len(data)
+    key = padded[:n] << 24 | padded[1 : n + 1] << 16 | padded[2 : n + 2] << 8 | padded[3 : n + 3]
+    rank, known = np.unique(key, return_inverse=True)[1].astype(np.int64), 4
+    while known < depth:
+        step = min(known, depth - known)
+        after = np.zeros(n, np.int64)
+        after[: max(0, n - step)] = rank[step:] + 1
+        rank = np.unique(rank << 32 | after, return_inverse=True)[1].astype(np.int64)
+        known += step
+    return rank
+
+
+def repeated_starts(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, start) of the strings of LENGTH bytes that occur twice in the pieces, by a suffix array of all their bytes."""
+    sizes = np.array([len(x) for x in pieces], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    rank = ranks_to_depth(np.frombuffer(b"".join(pieces), np.uint8))
+    n = np.maximum(sizes - LENGTH + 1, 0)
+    owner = np.repeat(np.arange(len(pieces)), n)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    own = rank[begin[owner] + start]  # strings within a piece; others' ranks only helped to sort
+    order = np.argsort(own, kind="stable")  # the suffix array
+    same = _alike(own[order])
+    twice = np.zeros(len(own), bool)
+    twice[order[same]] = True
+    twice[order[np.flatnonzero(same) - 1]] = True
+    return owner[twice], start[twice]
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,36 +306,14 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid += part.column(1).to_pylist()
         a += part.column(2).to_pylist()
         pieces += part.column(3).to_pylist()
-    if not pieces:
-        return
-    hashes, owner, start = [], [], []
-    at = 0
-    while at < len(pieces):
-        to = min(len(pieces), at + 4000)
-        joined = np.frombuffer(b"".join(pieces[at:to]), np.uint8)
-        sizes = np.array([len(x) for x in pieces[at:to]])
-        begin = np.cumsum(sizes) - sizes
-        n = sizes - LENGTH + 1
-        o = np.repeat(np.arange(to - at), n)
-        within = np.arange(len(o)) - np.repeat(np.cumsum(n) - n, n)
-        hashes.append(_grams(joined, LENGTH, True)[begin[o] + within])
-        owner.append(o + at)
-        start.append(within)
-        at = to
-    h, o, s = np.concatenate(hashes), np.concatenate(owner), np.concatenate(start)
-    order = np.argsort(h, kind="stable")
-    same = h[order][1:] == h[order][:-1]
-    twice = np.zeros(len(h), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    o, s = o[twice], s[twice]
-    if not len(o):
-        return
-    new = np.append(True, (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(o)) - 1
-    base = np.array(a, np.int64)[o[first]]
-    yield pa.RecordBatch.from_arrays([pa.array(np.array(rid, np.int64)[o[first]]), pa.array(base + s[first]), pa.array(base + s[last] + LENGTH)], names=["rid", "a", "b"])
+    if pieces:
+        o, s = repeated_starts(pieces)
+        if len(o):
+            first = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1)))
+            last = np.append(first[1:], len(o)) - 1
+            base = np.array(a, np.int64)[o[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(rid, np.int64)[o[first]]), pa.array(base + s[first]), pa.array(base + s[last] + LENGTH)], names=["rid", "a", "b"])
+    released()
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -328,40 +332,28 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, pa.list_(pa.int64()))], names=["rid", "spans"])
 
 
-def _joined_by_rid(docs: DataFrame, asked: DataFrame, rows: int, how: str) -> DataFrame:
-    """A broadcast where what is asked of how many documents is few; beyond, texts are shuffled by document."""
-    return docs.join(F.broadcast(asked) if rows <= BROADCAST_DOCS else asked, "rid", how)
+def _joined_by_rid(docs: DataFrame, asked: DataFrame, elements: str, width: int, how: str) -> DataFrame:
+    """A broadcast where what is asked is few bytes; beyond, texts are shuffled by document."""
+    mb = (asked.agg(F.sum(F.size(elements) * width + 32)).first()[0] or 0) / 1e6
+    return docs.join(F.broadcast(asked) if mb <= BROADCAST_MB else asked, "rid", how)
 
 
-def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """rid (a unique long, but for equal rows), text (not null) -> rid, spans: united byte ranges [a, b, a, b, ...]."""
+def repeated_spans(docs: DataFrame, batch: int = BATCH) -> DataFrame:
+    """rid (of a text), text (not null) -> rid, a, b: byte ranges of matches between different texts, or within one."""
     spark = docs.sparkSession
     small_batches(spark, 256)
     parts = partitions(spark)
-    packed = docs.select("rid", "text").mapInArrow(_suffixes(parts, batches), RUN).repartitionById(parts, F.col("p"))
-    runs = stored(packed.mapInArrow(_sorted_runs, RUN), "suffixes")
-    family = IndexFamily()
-    for b in range(batches):
-        family.insert(runs.filter(F.col("batch") == b))
-    repeated = family.repeated[0]
-    for more in family.repeated[1:]:
-        repeated = repeated.unionByName(more)
-    repeated = stored(repeated.groupBy("p").agg(F.collect_list("heads").alias("repeated")), "repeated")
-    mb = (repeated.agg(F.sum(F.expr("aggregate(repeated, 0L, (s, x) -> s + octet_length(x))"))).first()[0] or 0) / 1e6
-    small_batches(spark, 16)
-    found = runs.join(F.broadcast(repeated) if mb <= BROADCAST_MB else repeated, "p").select(*runs.columns, "repeated").mapInArrow(_live, RUN)
-    judged = stored(found.repartitionById(parts, F.col("p")).mapInArrow(_contexts, "p int, what int, rid long, a long, b long"), "contexts")
+    packed = docs.select("rid", "text").mapInArrow(_suffixes(parts, batch), RUN).repartitionById(parts, F.col("p"))
+    judged = stored(packed.mapInArrow(_family, JUDGED), "contexts")
     asked = stored(judged.filter("what > 0").groupBy("rid").agg(F.collect_list(F.struct("p", "what", "a", "b")).alias("asked")), "asked")
-    small_batches(spark, 256)
-    texts = _joined_by_rid(docs.select("rid", "text"), asked, asked.count(), "inner").select("rid", "text", "asked").mapInArrow(_texts, "p int, rid long, a long, piece binary, h long")
+    texts = _joined_by_rid(docs.select("rid", "text"), asked, "asked", 24, "inner").select("rid", "text", "asked").mapInArrow(_texts, "p int, rid long, a long, piece binary, h long")
     in_part = texts.filter("piece is not null").repartitionById(parts, F.col("p")).mapInArrow(_strings, "rid long, a long, b long")
     spans = judged.filter("what = 0").select("rid", "a", "b").unionByName(in_part)
     if judged.filter("what = 2").limit(1).count():
         split = stored(texts.filter("h is not null").select("h", "rid", "a"), "strings")
         twice = split.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
         spans = spans.unionByName(split.join(twice.select("h"), "h", "left_semi").select("rid", "a", (F.col("a") + LENGTH).alias("b")))
-    small_batches(spark, 512)
-    return spans.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("x")).mapInArrow(_united, "rid long, spans array<long>")
+    return spans
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,10 +370,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([r[3] for r in rows], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def deduplicate(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def deduplicate(docs: DataFrame, batch: int = BATCH) -> DataFrame:
     """doc_id, text -> doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    spans = stored(repeated_spans(docs, batches), "spans")
+    docs = docs.withColumn("rid", F.xxhash64("text"))
+    copies = docs.groupBy("rid").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.octet_length("text")).cast("long").alias("bytes")).filter("n > 1").select("rid", "first", "bytes")
+    copies = stored(copies, "copies")
+    near = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
+    one = docs.join(near.select("rid", "first", F.lit(True).alias("again")), "rid", "left").filter(F.col("again").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).select("rid", "text")
+    spans = repeated_spans(one, batch).unionByName(copies.filter(F.col("bytes") >= LENGTH).select("rid", F.lit(0).cast("long").alias("a"), F.col("bytes").alias("b")))
+    small_batches(docs.sparkSession, 512)
+    spans = stored(spans.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("x")).mapInArrow(_united, "rid long, spans array<long>"), "spans")
     small_batches(docs.sparkSession, 256)
-    return _joined_by_rid(docs, spans, spans.count(), "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _joined_by_rid(docs, spans, "spans", 8, "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

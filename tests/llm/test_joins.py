@@ -104,10 +104,10 @@ def test_divide_skip_is_exact():
     assert ngram_join.divide_skip(query, sets) == wanted
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_suffix_dedup(spark, monkeypatch, batches):
-    monkeypatch.setattr(suffix_dedup, "SPLIT", 1000)
-    rows = [(d, t) for d, t in corpus() if d != 1006] + [(2000, "ab" * 400), (2001, "é" * 99 + "x"), (2002, "é" * 150)]
+@pytest.mark.parametrize("batch, split", [(300_000, 1000), (200, 20)])
+def test_suffix_dedup(spark, monkeypatch, batch, split):
+    monkeypatch.setattr(suffix_dedup, "SPLIT", split)
+    rows = [*corpus(), (2000, "ab" * 400), (2001, "é" * 99 + "x"), (2002, "é" * 150), (None, prose(80, 5)), (2003, "n\0" * 150), (2004, "n\0" * 101 + "n")]
     data = [(t or "").encode() for _, t in rows]
     counts = Counter(t[k : k + 200] for t in data for k in range(len(t) - 199))
     wanted = []
@@ -119,19 +119,27 @@ def test_suffix_dedup(spark, monkeypatch, batches):
         kept = bytes(b for b, h in zip(t, hit, strict=True) if not h)
         runs = sum(1 for k, h in enumerate(hit) if h and not (k and hit[k - 1]))
         wanted.append((d, len(t), sum(hit), runs, hashlib.sha256(kept).hexdigest()))
-    got = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), batches=batches).collect()
-    assert sorted(tuple(r) for r in got) == sorted(wanted)
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, rid string, n_bytes int").repartition(3)
+    got = suffix_dedup.deduplicate(docs, batch=batch).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
     assert suffix_dedup.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_index_family_merges_geometrically(spark):
+def test_index_family_merges_geometrically():
     family = suffix_dedup.IndexFamily()
     for k in range(5):
-        keys = np.array(sorted([k, 100, 200 + k]), np.uint64).tobytes()
-        family.insert(spark.createDataFrame([(0, bytearray(keys))], "p int, key binary"))
-    assert [n for n, _ in family.levels] == [4, 1]
-    heads = np.concatenate([np.frombuffer(r.heads, np.uint64) for t in family.repeated for r in t.collect()])
-    assert set(heads.tolist()) == {100}
+        family.insert(np.array(sorted([b"%064d" % k, b"same" * 16, b"%064d" % (200 + k)]), suffix_dedup.HEAD))
+    assert [n for n, _ in family.levels] == [4, 1] and [len(h) for _, h in family.levels] == [9, 3]
+    assert all((h[1:] > h[:-1]).all() for _, h in family.levels)
+    assert family.matches().tolist() == [b"same" * 16]
+
+
+def test_suffix_ranks_are_lexicographic():
+    data = bytes(random.Random(1).choices(b"ab", k=600)) * 2
+    rank = suffix_dedup.ranks_to_depth(np.frombuffer(data, np.uint8), 200)
+    at = list(range(len(data) - 200))
+    assert sorted(at, key=lambda k: (rank[k], k)) == sorted(at, key=lambda k: (data[k : k + 200], k))
+    assert all((rank[k] == rank[k + 600]) == (data[k : k + 200] == data[k + 600 : k + 800]) for k in range(400))
 
 
 def test_embeddings(spark):

@@ -114,6 +114,45 @@ def test_extraction(spark):
     assert text[1] == "Title & more\nFirst bold text here, long enough.\nSecond paragraph, with a link."
     assert text[2].split("\n")[1].startswith("Other bold") and text[3] == text[4] == "" and text[5] == "just words"
     assert all(r.n_chars == len(r.text) for r in got)
+    assert extract.extract(frame(spark, [], "page_id long, url string, html string")).count() == 0
+
+
+LONG = "A sentence of the story that is long enough to count as prose, told again and again"
+
+
+def opaque(k, article, comments):
+    return f"<body><div class=zq><div class=qx{k}><h1>Title {k}</h1>" + "".join(f"<p>{LONG} {k} {i}.</p>" for i in range(article)) + "</div><div class=zk>" + "".join(f"<p>{LONG}, says reader {i}.</p>" for i in range(comments)) + "</div></div></body>"
+
+
+def test_extraction_by_the_votes_of_hosts(spark):
+    """Where words of classes say nothing or the wrong thing, the other pages of the host decide."""
+    rows = [(k, "http://opaque.example/" + str(k), opaque(k, 8, 1)) for k in range(6)] + [(6, "http://opaque.example/6", opaque(6, 2, 9)), (7, "http://lone.example/7", opaque(7, 2, 9))]
+    # A container whose class is a listed word holds prose on most pages; on one, it is short.
+    legal = lambda k, n: "<body><article><div class='post-header'><h1>Head</h1></div><div class='notice'>" + (f"<p>{LONG} {k}.</p>" * n or "<p>Short.</p>") + f"</div><p>{LONG}.</p></article><section class=responses><p>{LONG}!</p></section><div class=user-feedback><p>{LONG}?</p></div></body>"
+    rows += [(10 + k, f"https://legal.example/{k}", legal(k, 5)) for k in range(4)] + [(14, "https://legal.example/x", legal(4, 0)), (15, "https://other.example/x", legal(4, 0))]
+    got = {r.page_id: r.text for r in extract.extract(frame(spark, [(*r, "x") for r in rows], "page_id long, url string, html string, host string")).collect()}
+    for k in range(7):
+        lines = got[k].split("\n")
+        assert lines[0] == f"Title {k}" and len(lines) == 1 + (2 if k == 6 else 8) and "reader" not in got[k]
+    assert "reader" in got[7]  # alone, the page can't tell
+    assert all(got[10 + k].split("\n") == ["Head", *[f"{LONG} {k}."] * 5, f"{LONG}."] for k in range(4))
+    assert got[14] == f"Head\nShort.\n{LONG}." and got[15] == f"Head\n{LONG}."
+
+
+@pytest.mark.parametrize("name", ["post-header", "entry-header", "legal-story", "form-factor"])
+def test_one_listed_word_of_a_class_takes_no_prose_or_heading(name):
+    inner = "<h1>Top</h1>" if "header" in name else f"<p>{LONG}.</p>"
+    page = extract.Page(f"<article><div class={name}>{inner}</div>" + f"<p>{LONG}.</p>" * 3 + "<p>Text <span class=share>Share</span>goes on.</p></article>")
+    assert page.text().split("\n") == ["Top" if "header" in name else f"{LONG}.", *[f"{LONG}."] * 3, "Text goes on."]
+
+
+def test_extraction_is_linear():
+    import time
+
+    for text in ("<a " * 60_000, "<div>" * 20_000 + "x", "<div class=a>" * 20_000 + "x>", "</b>" * 40_000, "<p>" * 40_000, "<b>" * 20_000 + "<p>x" * 5_000):
+        began = time.process_time()
+        extract.Page(text).text()
+        assert time.process_time() - began < 8
 
 
 def test_fingerprints(spark):

@@ -163,31 +163,52 @@ def _whole_sets(parts: int):
     return lambda batches: _dealt(rows(batches), parts)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All postings of a partition -> for each id in it, how many of its elements somebody else has too."""
-    hs, ds = [], []
-    for batch in batches:
-        for h, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            hs.append(np.frombuffer(h, np.uint32))
-            ds.append(np.cumsum(np.frombuffer(d, np.int64)))
-    if hs:
-        h, d = np.concatenate(hs), np.concatenate(ds)
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        own = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))  # equal sets of other tasks count once
-        h, d = h[own], d[own]
-        same = h[1:] == h[:-1]
-        live = np.append(False, same) | np.append(same, False)
-        ids, counts = np.unique(d[live], return_counts=True)
+def _shared(parts: int):
+    """All postings of a partition -> for each id in it, how many of its elements somebody else has too, packed by the id's partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hs, ds = [], []
+        for batch in batches:
+            for h, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                hs.append(np.frombuffer(h, np.uint32))
+                ds.append(np.cumsum(np.frombuffer(d, np.int64)))
+        if hs:
+            h, d = np.concatenate(hs), np.concatenate(ds)
+            order = np.lexsort((d, h))
+            h, d = h[order], d[order]
+            own = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))  # equal sets of other tasks count once
+            h, d = h[own], d[own]
+            same = h[1:] == h[:-1]
+            live = np.append(False, same) | np.append(same, False)
+            ids, counts = np.unique(d[live], return_counts=True)
+            q = ids.view(np.uint64) * FACTORS[0] >> np.uint64(33)
+            q = (q % np.uint64(parts)).astype(np.int32)
+            order = np.lexsort((ids, q))
+            ids, counts, q = ids[order], counts[order].astype(np.int32), q[order]
+            first = np.flatnonzero(np.append(True, q[1:] != q[:-1])[: len(q)])
+            bounds = list(zip(first.tolist(), np.append(first[1:], len(q)).tolist(), strict=True)) if len(q) else []
+            yield pa.RecordBatch.from_arrays([pa.array(q[first]), pa.array([ids[a:b].tobytes() for a, b in bounds], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in bounds], pa.binary())], names=["q", "ids", "counts"])
+        released()
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a partition's ids from all partitions of elements -> their sums."""
+    rows = [r for batch in batches for r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+    if rows:
+        ids, place = np.unique(np.concatenate([np.frombuffer(a, np.int64) for a, _ in rows]), return_inverse=True)
+        sums = np.bincount(place, np.concatenate([np.frombuffer(b, np.int32) for _, b in rows])).astype(np.int64)
         for at in range(0, len(ids), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 50_000]), pa.array(counts[at : at + 50_000])], names=["id", "live"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 50_000]), pa.array(sums[at : at + 50_000])], names=["id", "live"])
     released()
 
 
 def _live_counts(packed: DataFrame) -> DataFrame:
     """CELLS -> id, live."""
     parts = partitions(packed.sparkSession)
-    return packed.repartitionById(parts, F.col("p")).mapInArrow(_shared, "id long, live long").groupBy("id").agg(F.sum("live").alias("live"))
+    shared = packed.repartitionById(parts, F.col("p")).mapInArrow(_shared(parts), "q int, ids binary, counts binary")
+    return shared.repartitionById(parts, F.col("q")).mapInArrow(_added, "id long, live long")
 
 
 class Index:
@@ -364,16 +385,18 @@ def _links(docs: DataFrame, heads: DataFrame) -> DataFrame:
     # 3. Everybody meets the leader of most of its lists.
     leader = lists.groupBy("list").agg(F.max(F.struct((F.col("l") / F.col("n")).alias("share"), (-F.col("node")).alias("back"), F.col("n").alias("m"), F.col("l").alias("k"))).alias("x"), F.count("*").alias("df")).filter("df > 1")
     leader = leader.select("list", (-F.col("x.back")).alias("lead"), F.col("x.m").alias("m"), F.col("x.k").alias("k"))
-    met = lists.join(leader, "list").filter((F.col("node") != F.col("lead")) & _fit("n", "l", "m", "k"))
-    met = met.groupBy("node", "lead", "t").agg(F.count("*").alias("c")).filter("c >= t").groupBy("node").agg(F.max(F.struct("c", (-F.col("lead")).alias("back"))).alias("x"))
-    best = stored(met.select("node", (-F.col("x.back")).alias("lead")), "best")
+    met = lists.join(leader, "list").filter(F.col("node") != F.col("lead")).groupBy("node", "lead", "t").agg(F.count("*").alias("c"), F.first(_fit("n", "l", "m", "k")).alias("fit"))
+    met = met.groupBy("node").agg(F.max(F.struct((F.col("fit") & (F.col("c") >= F.col("t"))).alias("fit"), "c", (-F.col("lead")).alias("back"))).alias("x"))
+    # Nodes that can't be like their leader still stand with it in the index.
+    near = stored(met.select("node", (-F.col("x.back")).alias("lead"), "x.fit"), "near")
+    best = near.filter("fit").select("node", "lead")
     led = best.select("lead").distinct().select(F.col("lead").alias("node"), F.col("lead").alias("block"), F.lit(True).alias("whole"))
     links = stored(_answers(best.select("node", F.col("lead").alias("block")), led, nodes.select("node", "n", "live")), "links")
     known = stored(components(links), "known")
 
     # 4. Blocks of one component, or of lone nodes with one leader's component; those of smaller components ask.
     of = known.select(F.col("node").alias("lead"), F.col("component").alias("led_by"))
-    at = nodes.select("node", "l").join(known, "node", "left").join(best, "node", "left").join(of, "lead", "left")
+    at = nodes.select("node", "l").join(known, "node", "left").join(near.select("node", "lead"), "node", "left").join(of, "lead", "left")
     alone = F.col("component").isNull()
     at = at.select("node", "l", alone.alias("alone"), F.coalesce("component", "node").alias("comp"), F.coalesce(F.col("component"), F.col("led_by"), F.col("lead"), F.col("node")).alias("key"))
     groups = at.groupBy("alone", "key").agg(F.sum("l").alias("elements"), F.count("*").alias("size"))
@@ -381,14 +404,15 @@ def _links(docs: DataFrame, heads: DataFrame) -> DataFrame:
     placed = at.join(groups, (F.col("alone") == F.col("a")) & (F.col("key") == F.col("k")))
     # A component's rank orders who asks whom: smaller ones ask larger ones.
     placed = stored(placed.select("node", "comp", "alone", F.struct("size", F.when(F.col("alone"), 0).otherwise(F.col("comp")).alias("comp")).alias("rank"), F.xxhash64("alone", "key", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")), "placed")
-    whose = stored(lists.select("node", "t", "list").join(placed, "node"), "whose")
+    whose = stored(lists.select("node", "n", "l", "t", "list").join(placed, "node"), "whose")
     # An inverted index over blocks: one posting for each block and list.
-    index = whose.groupBy("list", "block", "rank").agg(F.count("*").alias("size"), F.min("node").alias("only"))
-    index = index.select("list", F.col("block").alias("to"), F.col("rank").alias("to_rank"), "size", "only")
+    index = whose.groupBy("list", "block", "rank").agg(F.count("*").alias("size"), F.min("node").alias("only"), F.min("n").alias("m"), F.max("l").alias("k"))
+    index = index.select("list", F.col("block").alias("to"), F.col("rank").alias("to_rank"), "size", "only", "m", "k")
     # Nobody of a list's largest component asks by it.
     top = index.groupBy("list").agg(F.max("to_rank").alias("top"), F.count("*").alias("to_blocks"), F.max("size").alias("most")).filter("to_blocks > 1 or most > 1").select("list", "top")
     askers = whose.join(top, "list").filter(F.col("alone") | (F.col("rank") < F.col("top")))
-    asked = askers.join(index, "list").filter((F.col("rank") < F.col("to_rank")) | (F.col("alone") & (F.col("rank") == F.col("to_rank")) & ~((F.col("size") == 1) & (F.col("only") == F.col("node")))))
+    # A block without a node of this list that the asker can be like isn't asked by it.
+    asked = askers.join(index, "list").filter(_fit("n", "l", "m", "k") & ((F.col("rank") < F.col("to_rank")) | (F.col("alone") & (F.col("rank") == F.col("to_rank")) & ~((F.col("size") == 1) & (F.col("only") == F.col("node"))))))
     asked = asked.groupBy("node", "to", "t").agg(F.count("*").alias("c")).filter("c >= t").select("node", F.col("to").alias("block"))
     more = _answers(stored(asked, "asked"), placed.select("node", "block", (~F.col("alone")).alias("whole")), nodes.select("node", "n", "live"))
     found = stored(links.unionByName(more), "found")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,14 @@ WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir."""
+    """The folder that all executors share: spark.checkpoint.dir.  Where it is unset, a local session (tests) gets one of its own; a cluster can't."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        at = getattr(scratch_dir, "own", None)
+        if at is None:
+            at = scratch_dir.own = "file://" + tempfile.mkdtemp(prefix="lodestone-")
     return at.rstrip("/")
 
 

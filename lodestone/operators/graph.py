@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.sources.scratch import stored
 
 
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 40) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """node -> component: the least node reachable.  Stars are rebuilt until they stand still; each round is stored."""
     e = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     state = None
@@ -22,6 +22,8 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 40) -> Dat
         if new == state or not new[0]:
             break
         state = new
+    else:
+        raise RuntimeError(f"components: not converged after {most_rounds} rounds")
     roots = e.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(roots, nodes["node"] == roots["u"], "left").select("node", F.coalesce("component", "node").alias("component"))
 
@@ -55,11 +57,19 @@ def token_edges(rows: DataFrame, node: str, tokens: str, percent: int = 85, leas
     return both.filter(common * 100 >= (F.size("su") + F.size("sv") - common) * percent).select("u", "v").unionByName(stars)
 
 
-def reachable(spark, edges: DataFrame, depth: int = 100) -> DataFrame:
-    """(u, v): v can be reached from u along edges (src, dst)."""
-    name = "reachable_edges"
-    edges.createOrReplaceTempView(name)
-    return spark.sql(f"""WITH RECURSIVE r(u, v, n) AS (SELECT src, dst, 1 FROM {name} UNION ALL SELECT r.u, e.dst, n + 1 FROM r JOIN {name} e ON e.src = r.v WHERE n < {depth}) SELECT DISTINCT u, v FROM r""")
+def reachable(spark, edges: DataFrame) -> DataFrame:
+    """(u, v): v can be reached from u along edges (src, dst), by paths of any length.
+
+    Paths are joined to twice their length each round, so rounds are as many as the logarithm of the longest one; a round
+    is written, and the last one finds no new pair.
+    """
+    known = stored(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).distinct())
+    before, count = -1, known.count()
+    while count > before:
+        further = known.select("u", F.col("v").alias("m")).join(known.select(F.col("u").alias("m"), "v"), "m").select("u", "v")
+        known = stored(known.unionByName(further).distinct())
+        before, count = count, known.count()
+    return known
 
 
 def effective(rows: DataFrame, key: str, supersedes: str) -> DataFrame:

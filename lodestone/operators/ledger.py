@@ -11,24 +11,26 @@ def numbered(calendar: DataFrame) -> DataFrame:
     return calendar.select("session").distinct().withColumn("k", F.row_number().over(Window.orderBy("session")))
 
 
-def days_to_sessions(calendar: DataFrame, reach: int = 4000, strict: bool = False) -> DataFrame:
-    """Every calendar day -> the next session on or (strict) after it: an as-of join becomes an equi-join on the day."""
+def days_to_sessions(calendar: DataFrame, strict: bool = False) -> DataFrame:
+    """Every day from the one before the first session to the last -> the next session on or (strict) after it: an as-of join becomes an equi-join."""
     n = numbered(calendar)
-    before = F.coalesce(F.lag("session").over(Window.orderBy("session")), F.date_sub("session", reach))
+    before = F.coalesce(F.lag("session").over(Window.orderBy("session")), F.date_sub("session", 2))
     low, high = (before, F.date_sub("session", 1)) if strict else (F.date_add(before, 1), F.col("session"))
-    return n.withColumns({"_low": low, "_high": high}).select(F.explode(F.sequence("_low", "_high")).alias("day"), "session", "k")
+    return n.withColumns({"_low": low, "_high": high}).select(F.explode(F.sequence("_low", "_high")).alias("day"), "session", "k").filter("day >= date_sub(session, 1) or k > 1")
 
 
 def forward_windows(signals: DataFrame, calendar: DataFrame, horizons: tuple[int, ...] = (1, 5, 20), strict: bool = False, delay: int = 0) -> DataFrame:
     """Signals with entry (first session on or after the day; strict: after it; delay: so many later) and exit sessions.
 
-    An exit that the calendar doesn't have yet is NULL and the window pending.
+    Every signal stays, once for each horizon: one from before the calendar enters at its first session; one that no session
+    follows has neither entry nor exit, and an exit that the calendar doesn't have yet is NULL.  Both are pending.
     """
     days, n = days_to_sessions(calendar, strict=strict), numbered(calendar)
-    at = signals.join(days.select(F.col("day").alias("generated_on"), F.col("k").alias("_k")), "generated_on")
+    first = n.agg(F.date_sub(F.min("session"), 1).alias("_first"))  # one row
+    at = signals.join(F.broadcast(first)).withColumn("_day", F.greatest("generated_on", "_first")).join(days.select(F.col("day").alias("_day"), F.col("k").alias("_k")), "_day", "left").drop("_day", "_first")
     at = at.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons]))).withColumn("_e", F.col("_k") + delay)
     entry, exit_ = n.select(F.col("k").alias("_e"), F.col("session").alias("entry")), n.select(F.col("k").alias("_x"), F.col("session").alias("exit"))
-    out = at.join(entry, "_e").withColumn("_x", F.col("_e") + F.col("horizon")).join(exit_, "_x", "left")
+    out = at.join(entry, "_e", "left").withColumn("_x", F.col("_e") + F.col("horizon")).join(exit_, "_x", "left")
     return out.drop("_k", "_e", "_x").withColumn("status", F.when(F.col("exit").isNull(), "pending").otherwise("filled"))
 
 

@@ -15,7 +15,8 @@ def visible(rows: DataFrame, known_by: str, on: str) -> DataFrame:
 
 def resolve(symbols: DataFrame, versions: DataFrame) -> DataFrame:
     """symbol, on, known_by against versions (symbol, instrument, valid_from, valid_to, known_from): resolved, ambiguous or unknown."""
-    seen = symbols.join(versions, "symbol", "left").filter(F.col("instrument").isNull() | ((F.col("known_from") <= F.col("known_by")) & (F.col("valid_from") <= F.col("on")) & (F.col("valid_to").isNull() | (F.col("on") < F.col("valid_to")))))
+    asked = symbols.select("symbol", "on", "known_by").distinct()
+    seen = versions.join(asked, "symbol").filter((F.col("known_from") <= F.col("known_by")) & (F.col("valid_from") <= F.col("on")) & (F.col("valid_to").isNull() | (F.col("on") < F.col("valid_to"))))
     g = seen.groupBy("symbol", "on", "known_by").agg(F.count_distinct("instrument").alias("n"), F.min("instrument").alias("_i"))
     out = symbols.join(g, ["symbol", "on", "known_by"], "left")
     n = F.coalesce("n", F.lit(0))
@@ -89,7 +90,7 @@ def greedy_caps(pool: DataFrame, caps: dict[tuple[str, ...], int], total: int) -
     """run, rank and the capped columns -> the rows that a greedy walk by rank keeps.
 
     A row is kept if no cap it falls under is full; skipped rows use up no cap, so separate row numbers would not do.  A
-    run's pool is one group: a few hundred rows.
+    run's pool is one group, so it should be bounded first (see best_of_caps).
     """
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -105,3 +106,12 @@ def greedy_caps(pool: DataFrame, caps: dict[tuple[str, ...], int], total: int) -
 
     return pool.groupBy("run").applyInPandas(walk, pool.schema)
 
+
+
+def best_of_caps(pool: DataFrame, run: str, outer: str, inner: str, order: list[Column], caps: tuple[int, int], total: int) -> DataFrame:
+    """The rows that a greedy walk of at most `total`, `caps` for each outer and inner value and one of both together can reach.
+
+    A full cap stays full, so of one pair of values only the best row matters; and at most total // caps[1] inner values can be full, so
+    of an outer value only its best caps[0] + total // caps[1] rows do.
+    """
+    return top_per(top_per(pool, [run, outer, inner], order, 1).drop("position"), [run, outer], order, caps[0] + total // caps[1]).drop("position")

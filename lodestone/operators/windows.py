@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,11 +115,20 @@ def first_last(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
 
 
 def hash_chain(rows: DataFrame, keys: list[str], order: str, payload: Column) -> DataFrame:
-    """Each row's digest over the digest of the row before it in the chain and its own payload, one link deep."""
-    h = _history(keys, [order])
-    b = rows.withColumn("own", F.sha2(payload, 256))
-    previous = F.lag("own").over(h)
-    return b.select(*keys, order, F.sha2(F.concat(F.coalesce(previous, F.lit("")), F.lit("|"), F.col("own")), 256).alias("link"), (previous.isNull() == (F.row_number().over(h) == 1)).alias("continuous"))
+    """Each row's link is the digest of the link before it and its own payload's digest, so a link covers all rows up to it.
+
+    A chain can only be folded in its order: it is one group, of which a task gets the digests alone.
+    """
+    own = rows.select(*keys, order, F.sha2(payload, 256).alias("own"), F.lit("").alias("link"))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, link, links = pdf.sort_values([order, "own"]), "", []
+        for digest in pdf["own"]:
+            link = hashlib.sha256(f"{link}|{digest}".encode()).hexdigest()
+            links.append(link)
+        return pdf.assign(link=links)
+
+    return own.groupBy(*keys).applyInPandas(fold, own.schema).drop("own")
 
 
 def daily_counts(events: DataFrame, key: str) -> DataFrame:

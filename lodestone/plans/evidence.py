@@ -270,5 +270,8 @@ def d04(spark, d):
 
 @query("o05_greedy_caps")
 def o05(spark, d):
-    pool = scan(spark, d, "events").select(F.to_date("ts").alias("run"), F.row_number().over(Window.partitionBy(F.to_date("ts")).orderBy(F.col("value").desc(), "event_id")).alias("rank"), "event_id", "event_type", "user_id")
-    return m.greedy_caps(pool, {("event_type",): 3, ("event_type", "user_id"): 1, ("user_id",): 2}, 5)
+    order = [F.col("value").desc(), F.col("event_id")]
+    pool = scan(spark, d, "events").select(F.to_date("ts").alias("run"), "event_id", "event_type", "user_id", "value")
+    few = m.best_of_caps(pool, "run", "event_type", "user_id", order, (3, 2), 5)
+    ranked = few.select("run", F.row_number().over(Window.partitionBy("run").orderBy(*order)).alias("rank"), "event_id", "event_type", "user_id")
+    return m.greedy_caps(ranked, {("event_type",): 3, ("event_type", "user_id"): 1, ("user_id",): 2}, 5).drop("rank")

@@ -44,7 +44,7 @@ def o03(spark, d):
 @query("g03_cycle_reach", "WITH RECURSIVE e AS (SELECT n_nationkey AS src, ((n_nationkey * 7 + 3) % 25)::INT AS dst FROM nation), r(u, v) AS (SELECT src, dst FROM e UNION SELECT r.u, e.dst FROM r JOIN e ON e.src = r.v) SELECT u, v FROM r")
 def g03(spark, d):
     edges = scan(spark, d, "nation").select(F.col("n_nationkey").alias("src"), ((F.col("n_nationkey") * 7 + 3) % 25).cast("int").alias("dst"))
-    return gr.reachable(spark, edges, 30)
+    return gr.reachable(spark, edges)
 
 
 @query("g04_effective_rows", """WITH v AS (SELECT event_id, lag(event_id) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS sup, ts FROM events), i AS (SELECT * FROM v WHERE ts < TIMESTAMP '2024-01-15') SELECT event_id FROM i WHERE event_id NOT IN (SELECT sup FROM i WHERE sup IS NOT NULL)""")

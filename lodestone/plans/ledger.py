@@ -11,7 +11,7 @@ MEMBERS = ["AF", "AO", "NF", "NO", "RF", "RO"]
 WINDOWS = f"""{BARS_SQL}, {SIGNALS_SQL}, cal AS (SELECT session, row_number() OVER (ORDER BY session) AS k FROM (SELECT DISTINCT session FROM bars)),
     hz AS (SELECT unnest([1, 5, 20]) AS horizon),
     w AS (SELECT s.*, hz.horizon, c.session AS entry, c.k AS k, x.session AS exit, CASE WHEN x.session IS NULL THEN 'pending' ELSE 'filled' END AS status
-      FROM signals s ASOF JOIN cal c ON s.generated_on <= c.session CROSS JOIN hz LEFT JOIN cal x ON x.k = c.k + hz.horizon)"""
+      FROM signals s ASOF LEFT JOIN cal c ON s.generated_on <= c.session CROSS JOIN hz LEFT JOIN cal x ON x.k = c.k + hz.horizon)"""
 RETURNS = f"""{WINDOWS}, r AS (SELECT w.* EXCLUDE (status), CASE WHEN a.close > 0 AND b.close > 0 THEN b.close / a.close - 1 END AS ret, w.status AS ws FROM w
       LEFT JOIN bars a ON a.symbol = w.symbol AND a.session = w.entry LEFT JOIN bars b ON b.symbol = w.symbol AND b.session = w.exit),
     sp AS (SELECT DISTINCT entry, exit FROM w WHERE exit IS NOT NULL),
@@ -31,8 +31,8 @@ def j03(spark, d):
 
 
 @query("j04_strict_asof_decision", f"""WITH {BARS_SQL}, {SIGNALS_SQL}, cal AS (SELECT session, row_number() OVER (ORDER BY session) AS k FROM (SELECT DISTINCT session FROM bars)),
-    w AS (SELECT s.record_id, c.k FROM signals s ASOF JOIN cal c ON s.generated_on < c.session)
-    SELECT record_id, e.session AS entry FROM w JOIN cal e ON e.k = w.k + 1""")
+    w AS (SELECT s.record_id, c.k FROM signals s ASOF LEFT JOIN cal c ON s.generated_on < c.session)
+    SELECT record_id, e.session AS entry FROM w LEFT JOIN cal e ON e.k = w.k + 1""")
 def j04(spark, d):
     return l.forward_windows(signals(spark, d), bars(spark, d), (0,), strict=True, delay=1).select("record_id", "entry")
 

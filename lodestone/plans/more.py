@@ -51,8 +51,7 @@ def f13(spark, d):
 
 @query("f16_any_threshold", "SELECT l_orderkey, bool_or(l_discount >= 0.09 OR l_tax >= 0.08) AS hit FROM lineitem GROUP BY 1")
 def f16(spark, d):
-    g = scan(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_discount", "l_tax")).alias("x"))
-    return g.select("l_orderkey", F.exists("x", lambda v: (v.l_discount >= 0.09) | (v.l_tax >= 0.08)).alias("hit"))
+    return scan(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_or((F.col("l_discount") >= 0.09) | (F.col("l_tax") >= 0.08)).alias("hit"))
 
 
 @query("f18_admission_ladder", """WITH j AS (SELECT d.doc_id, d.source, d.n_chars, quality, row_number() OVER (PARTITION BY source, n_chars ORDER BY d.doc_id) AS k FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
@@ -78,14 +77,16 @@ def j01(spark, d):
 @query("j05_backward_baseline", """WITH t AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'), h AS (SELECT event_id AS hid, user_id, ts AS hts, value FROM events WHERE event_type <> 'error'),
     j AS (SELECT t.event_id, h.value, row_number() OVER (PARTITION BY t.event_id ORDER BY hts DESC, hid) AS k FROM t JOIN h ON h.user_id = t.user_id AND h.hts < t.ts) SELECT event_id, count(*) AS points, round(avg(value), 6) AS mean FROM j WHERE k <= 20 GROUP BY 1""")
 def j05(spark, d):
-    """The latest 20 values strictly before each target: one ordered pass per key, targets among the history."""
+    """The latest 20 values strictly before each target: running counts and sums of the history, and what they were 20 earlier."""
     e = scan(spark, d, "events").withColumn("target", F.col("event_type") == "error")
     # At one instant targets come before history, which is then not strictly earlier.
-    w = Window.partitionBy("user_id").orderBy("ts", F.col("target").desc(), F.col("event_id").desc())
-    past = F.filter(F.collect_list(F.when(~F.col("target"), F.col("value"))).over(w.rowsBetween(Window.unboundedPreceding, -1)), lambda x: x.isNotNull())
-    last = F.when(F.size("p") > 20, F.slice("p", -20, 20)).otherwise(F.col("p"))
-    t = e.withColumn("p", past).filter("target").withColumn("p", last).filter(F.size("p") > 0)
-    return t.select("event_id", F.size("p").cast("long").alias("points"), F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x) / F.size("p"), 6).alias("mean"))
+    w = Window.partitionBy("user_id").orderBy("ts", F.col("target").desc(), F.col("event_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    past = F.when(~F.col("target"), F.col("value").cast("decimal(28,10)"))
+    run = e.select("event_id", "user_id", "target", F.count(past).over(w).alias("n"), F.coalesce(F.sum(past).over(w), F.lit(0)).cast("decimal(38,10)").alias("s"))
+    before = run.filter(~F.col("target")).select("user_id", (F.col("n") + 20).alias("n"), F.col("s").alias("earlier"))
+    t = run.filter("target and n > 0").join(before, ["user_id", "n"], "left")
+    points = F.least("n", F.lit(20))
+    return t.select("event_id", points.alias("points"), F.round((F.col("s") - F.coalesce("earlier", F.lit(0).cast("decimal(38,10)"))).cast("double") / points, 6).alias("mean"))
 
 
 @query("j08_history_semi", """WITH h AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts < TIMESTAMP '2024-01-10') SELECT event_id, h.user_id IS NOT NULL AS seen FROM (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-29') e LEFT JOIN h ON h.user_id = e.user_id AND h.event_type = e.event_type""")

@@ -23,7 +23,8 @@ def p01(spark, d):
     return portfolio.simulate(rows)
 
 
-@query("t02_stream_confluence")
+@query("t02_stream_confluence", """WITH w AS (SELECT DISTINCT user_id, event_type, event_id, unnest([date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 2 DAY]) AS as_of FROM events)
+    SELECT user_id AS key, as_of, string_agg(DISTINCT event_type, '+' ORDER BY event_type) AS families, count(*) AS n_events FROM w GROUP BY 1, 2 HAVING count(DISTINCT event_type) >= 2""")
 def t02(spark, d):
     """The event table replayed as a stream of files."""
     import uuid
@@ -31,6 +32,9 @@ def t02(spark, d):
     base = f"{shared_dir(spark)}/lodestone/stream-{uuid.uuid4().hex}"
     e = scan(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
     e.withColumn("day", F.date_format("ts", "yyyyMMdd")).repartition("day").sortWithinPartitions("ts").drop("day").write.parquet(f"{base}/in")
+    # A last event, of nobody, far enough ahead to close every window before it.
+    end = e.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(None).cast("long").alias("user_id"), F.lit("end").alias("event_type"))
+    end.write.mode("append").parquet(f"{base}/in")
     live = stream.confluence(stream.event_stream(spark, f"{base}/in", "event_id long, ts timestamp_ntz, user_id long, event_type string", 1000), "user_id", "event_type", "event_id")
     stream.drain(live, f"{base}/out", f"{base}/state", "append")
     return spark.read.schema("key long, as_of timestamp, families string, n_events long, batch int").parquet(f"{base}/out").drop("batch")

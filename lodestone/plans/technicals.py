@@ -103,7 +103,8 @@ def j07(spark, d):
     return w.latest(scan(spark, d, "lineitem"), ["l_orderkey"], [F.col("l_linenumber").desc(), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]).select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
 
 
-@query("w18_hash_chain", """WITH o AS (SELECT conv_id, turn, sha256(role || '|' || text) AS own FROM conversations), p AS (SELECT *, lag(own) OVER h AS prev, row_number() OVER h AS k FROM o WINDOW h AS (PARTITION BY conv_id ORDER BY turn))
-    SELECT conv_id, turn, sha256(coalesce(prev, '') || '|' || own) AS link, (prev IS NULL) = (k = 1) AS continuous FROM p""")
+@query("w18_hash_chain", """WITH RECURSIVE o AS (SELECT conv_id, turn, sha256(role || '|' || text) AS own, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+    r AS (SELECT conv_id, turn, k, sha256('|' || own) AS link FROM o WHERE k = 1 UNION ALL SELECT o.conv_id, o.turn, o.k, sha256(r.link || '|' || o.own) FROM r JOIN o ON o.conv_id = r.conv_id AND o.k = r.k + 1)
+    SELECT conv_id, turn, link FROM r""")
 def w18(spark, d):
     return w.hash_chain(scan(spark, d, "conversations"), ["conv_id"], "turn", F.concat_ws("|", "role", "text"))

@@ -32,10 +32,10 @@ def test_baseline_needs_points_and_holds_young_scores(spark):
 
 def test_forward_window_is_on_or_after_and_strictly_after(spark):
     cal = spark.createDataFrame([(d,) for d in (dt.date(2024, 1, 2), dt.date(2024, 1, 5), dt.date(2024, 1, 8))], "session date")
-    s = spark.createDataFrame([(1, dt.date(2024, 1, 2)), (2, dt.date(2024, 1, 3)), (3, dt.date(2024, 1, 9))], "record_id int, generated_on date")
+    s = spark.createDataFrame([(0, dt.date(1990, 1, 2)), (1, dt.date(2024, 1, 2)), (2, dt.date(2024, 1, 3)), (3, dt.date(2024, 1, 9))], "record_id int, generated_on date")
     get = lambda strict: {r.record_id: (r.entry, r.exit, r.status) for r in ledger.forward_windows(s, cal, (1,), strict=strict).collect()}
-    assert get(False) == {1: (dt.date(2024, 1, 2), dt.date(2024, 1, 5), "filled"), 2: (dt.date(2024, 1, 5), dt.date(2024, 1, 8), "filled")}
-    assert get(True)[1][0] == dt.date(2024, 1, 5)
+    assert get(False) == {0: (dt.date(2024, 1, 2), dt.date(2024, 1, 5), "filled"), 1: (dt.date(2024, 1, 2), dt.date(2024, 1, 5), "filled"), 2: (dt.date(2024, 1, 5), dt.date(2024, 1, 8), "filled"), 3: (None, None, "pending")}
+    assert get(True) == {0: (dt.date(2024, 1, 2), dt.date(2024, 1, 5), "filled"), 1: (dt.date(2024, 1, 5), dt.date(2024, 1, 8), "filled"), 2: (dt.date(2024, 1, 5), dt.date(2024, 1, 8), "filled"), 3: (None, None, "pending")}
 
 
 def test_greedy_caps_walk(spark):
@@ -44,6 +44,36 @@ def test_greedy_caps_walk(spark):
     assert sorted(r["rank"] for r in got) == [0, 2, 3, 5]
 
 
+def test_greedy_query_equals_a_walk_over_all_rows(spark):
+    from lodestone import catalog
+
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").toPandas()
+    wanted = set()
+    for _, day in e.groupby(e["ts"].dt.date):
+        types, users, pairs, n = {}, {}, set(), 0
+        for r in day.sort_values(["value", "event_id"], ascending=[False, True]).itertuples():
+            if n < 5 and types.get(r.event_type, 0) < 3 and users.get(r.user_id, 0) < 2 and (r.event_type, r.user_id) not in pairs:
+                n += 1
+                types[r.event_type] = types.get(r.event_type, 0) + 1
+                users[r.user_id] = users.get(r.user_id, 0) + 1
+                pairs.add((r.event_type, r.user_id))
+                wanted.add(r.event_id)
+    assert {r.event_id for r in catalog.queries()["o05_greedy_caps"](spark, "/root/testdata/sf0.001").collect()} == wanted
+
+
+def test_reachable_has_no_depth(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(150)] + [(150, 149)], "src int, dst int")
+    got = {tuple(r) for r in graph.reachable(spark, chain).collect()}
+    assert (0, 150) in got and (149, 149) in got and (3, 2) not in got and len(got) == 150 * 151 // 2 + 3
+
+
+def test_hash_chain_covers_all_earlier_rows(spark):
+    rows = [("a", k, "p") for k in range(5)]
+    link = lambda rows: {r.k: r.link for r in windows.hash_chain(spark.createDataFrame(rows, "key string, k int, p string"), ["key"], "k", F.col("p")).collect()}
+    one, two = link(rows), link([("a", 0, "x"), *rows[1:]])
+    assert all(one[k] != two[k] for k in range(5))
+
+
 def test_components_and_token_edges(spark):
     t = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "j i h g f e d c b a"), (4, "a b c"), (5, "a b c d e f g h i j l")]
     rows = spark.createDataFrame(t, "node long, s string").withColumn("s", F.split("s", " "))

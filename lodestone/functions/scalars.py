@@ -24,8 +24,11 @@ def newest(*columns: Column) -> Column:
 
 def to_utc(text: Column) -> Column:
     """ISO or RFC-2822 text -> UTC second; without an offset only the day counts; epoch seconds only between 1e8 and 1e11."""
-    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2}|GMT)$")
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")])
+    # RFC-2822 names the day of the week first, which says nothing more, and the zone by a word or an offset.
+    mail = F.regexp_replace(F.regexp_replace(text, "^[A-Za-z]{3}, *", ""), " (GMT|UTC?|Z)$", " +0000")
+    zoned = mail.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    formats = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd HH:mm:ssXXX", "d MMM yyyy HH:mm:ss xx", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+    parsed = F.coalesce(*[F.try_to_timestamp(mail, F.lit(f)) for f in formats])
     number = F.when(text.rlike(r"^\d+(\.\d+)?$"), F.try_to_number(text, F.lit("999999999999999")).cast("double"))
     epoch = F.when((number > 1e8) & (number < 1e11), F.timestamp_seconds(number))
     return F.coalesce(epoch, F.when(zoned, F.date_trunc("second", parsed)), F.date_trunc("day", parsed))
@@ -86,3 +89,31 @@ def title_key(title: Column) -> Column:
     """Lower case, letters and digits only, one space between words, without a leading breaking, update or exclusive."""
     words = F.trim(F.regexp_replace(F.lower(title), r"[^\p{L}\p{N}]+", " "))
     return F.regexp_replace(words, r"^(?:(?:breaking|update|exclusive) )+", "")
+
+
+def precision_interval(text: Column) -> tuple[Column, Column]:
+    """A date of day, month, quarter or year precision -> its half-open interval; NULL for anything else."""
+    year = F.substring(text, 1, 4).try_cast("int")
+    day = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+    month = F.when(text.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(text, F.lit("-01")), "yyyy-MM-dd"))
+    quarter = F.when(text.rlike(r"^\d{4}-Q[1-4]$"), F.make_date(year, F.substring(text, 7, 1).try_cast("int") * 3 - 2, F.lit(1)))
+    whole = F.when(text.rlike(r"^\d{4}$"), F.make_date(year, F.lit(1), F.lit(1)))
+    return F.coalesce(day, month, quarter, whole), F.coalesce(F.date_add(day, 1), F.add_months(month, 1), F.add_months(quarter, 3), F.add_months(whole, 12))
+
+
+def name_key(name: Column, common: tuple[str, ...]) -> Column:
+    """The first two words of a name that aren't common ones; NULL without any."""
+    words = F.filter(F.split(F.regexp_replace(F.lower(name), "[^a-z0-9]+", " "), " "), lambda x: (x != "") & ~x.isin(*common))
+    return F.when(F.size(words) > 0, F.array_join(F.slice(words, 1, 2), " "))
+
+
+def canonical_json(**fields: Column) -> Column:
+    """A JSON object with its keys in alphabetical order and NULLs kept."""
+    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
+
+
+def finite_columns(rows, names: list[str]):
+    """rows with NaN and infinities of these columns as NULL, and `nulled`: which ones were, joined by +."""
+    odd = {n: F.isnan(n) | (F.abs(F.col(n)) == float("inf")) for n in names}
+    nulled = F.concat_ws("+", *[F.when(odd[n], n) for n in names])
+    return rows.select(*[c for c in rows.columns if c not in names], *[F.when(~odd[n], F.col(n)).alias(n) for n in names], nulled.alias("nulled"))

@@ -117,12 +117,12 @@ def a30(spark, d):
     return scan(spark, d, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count_distinct("l_returnflag").alias("versions"), F.min("l_returnflag").alias("low"), F.max("l_returnflag").alias("high")).filter("versions > 1")
 
 
-@query("j09_newest_packet", """WITH p AS (SELECT l_orderkey, arg_max(l_shipmode, (l_shipdate, l_linenumber)) AS packet FROM (SELECT *, l_linestatus AS l_shipmode FROM lineitem WHERE l_discount >= 0.05) GROUP BY 1), f AS (SELECT l_orderkey, min(l_linestatus) AS packet FROM lineitem WHERE l_discount < 0.02 GROUP BY 1)
+@query("j09_newest_packet", """WITH p AS (SELECT l_orderkey, arg_max(l_shipmode, (l_shipdate, l_linenumber, l_shipmode)) AS packet FROM (SELECT *, l_linestatus AS l_shipmode FROM lineitem WHERE l_discount >= 0.05) GROUP BY 1), f AS (SELECT l_orderkey, min(l_linestatus) AS packet FROM lineitem WHERE l_discount < 0.02 GROUP BY 1)
     SELECT o_orderkey, coalesce(p.packet, f.packet, 'none') AS packet FROM orders LEFT JOIN p ON p.l_orderkey = o_orderkey LEFT JOIN f ON f.l_orderkey = o_orderkey""")
 def j09(spark, d):
     """Every event head with its newest packet, else its fallback."""
     li = scan(spark, d, "lineitem")
-    p = li.filter("l_discount >= 0.05").groupBy("l_orderkey").agg(F.max_by("l_linestatus", F.struct("l_shipdate", "l_linenumber")).alias("p"))
+    p = li.filter("l_discount >= 0.05").groupBy("l_orderkey").agg(F.max_by("l_linestatus", F.struct("l_shipdate", "l_linenumber", "l_linestatus")).alias("p"))
     f = li.filter("l_discount < 0.02").groupBy("l_orderkey").agg(F.min("l_linestatus").alias("f"))
     o = scan(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     return o.join(p, "l_orderkey", "left").join(f, "l_orderkey", "left").select(F.col("l_orderkey").alias("o_orderkey"), F.coalesce("p", "f", F.lit("none")).alias("packet"))

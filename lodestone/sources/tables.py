@@ -15,12 +15,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = scan(spark, sf_dir, "lineitem")
     order = F.col("l_orderkey") * 100 + F.col("l_linenumber")
     return line.groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"), F.to_date("l_shipdate").alias("session")).agg(
-        F.min_by("l_extendedprice", order).alias("open"), F.max_by("l_extendedprice", order).alias("close"), F.sum("l_quantity").alias("volume")
+        F.min_by("l_extendedprice", F.struct(order, "l_extendedprice")).alias("open"), F.max_by("l_extendedprice", F.struct(order, "l_extendedprice")).alias("close"), F.sum("l_quantity").alias("volume")
     )
 
 
 BARS_SQL = """bars AS (SELECT l_returnflag || l_linestatus AS symbol, l_shipdate::DATE AS session,
-    arg_min(l_extendedprice, l_orderkey * 100 + l_linenumber) AS open, arg_max(l_extendedprice, l_orderkey * 100 + l_linenumber) AS close,
+    arg_min(l_extendedprice, (l_orderkey * 100 + l_linenumber, l_extendedprice)) AS open, arg_max(l_extendedprice, (l_orderkey * 100 + l_linenumber, l_extendedprice)) AS close,
     sum(l_quantity) AS volume FROM lineitem GROUP BY 1, 2)"""
 
 

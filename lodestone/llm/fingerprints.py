@@ -6,7 +6,9 @@ length; an insertion moves only the cuts near it.  likeness() is the share of a
 chunk once) that the other text has too: 1 for equal texts, 0 for texts without a common chunk.
 
 A null text is an empty one; an empty text has the empty fingerprint, is like an empty one (1) and unlike any other (0).
-Equal texts have equal fingerprints, wherever they stand.  A table of one row is its own next document.
+Equal texts have equal fingerprints, wherever they stand.  A table of one row is its own next document; repeated ids follow each
+other in the order of their texts, null ids come last.  Very long texts are hashed in blocks, with the same cuts as at once.
+Other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -166,6 +166,29 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_embeddings_over_many_blocks(spark, monkeypatch):
+    """Recall of links near the bound, in one label of some forty blocks; ids beyond 2**53, a null id and clashing columns."""
+    monkeypatch.setattr(embeddings, "BLOCK", 64)
+    monkeypatch.setattr(embeddings, "RECALL", 0.95)
+    r = np.random.default_rng(11)
+    base = r.normal(size=(1200, 32))
+    base /= np.sqrt((base * base).sum(1, keepdims=True))
+    turned = r.normal(size=(1200, 32))
+    turned -= (turned * base).sum(1, keepdims=True) * base
+    turned /= np.sqrt((turned * turned).sum(1, keepdims=True))
+    x = np.concatenate([base, 0.94 * base + np.sqrt(1 - 0.94**2) * turned])
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    first = 2**60 + 1
+    rows = [(first + k, v.tolist(), 0, 5, "x") for k, v in enumerate(x)] + [(None, x[0].tolist(), 0, 5, "x")]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links int, ball string")).collect()
+    links = {g.vec_id: g.n_links for g in got}
+    assert len(got) == 2401 and links.pop(None) == 0 and set(links) == {first + k for k in range(2400)}
+    wanted = near.sum(1)
+    assert all(links[first + k] <= n for k, n in enumerate(wanted.tolist())) and sum(links.values()) >= 0.9 * wanted.sum()
+
+
 def test_embeddings_of_a_dense_group_without_balls(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK", 32)
     monkeypatch.setattr(embeddings, "QUERIES", 64)

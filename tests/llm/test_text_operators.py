@@ -174,6 +174,44 @@ def test_fingerprints(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def plain_chunks(data):
+    """Content-defined chunking, byte by byte: the sum of the last 32 bytes' gears, each shifted by its distance."""
+    import xxhash
+
+    found, at = {}, 0
+    while len(data) - at > 32:
+        end = None
+        for k in range(at + 32, min(len(data), at + 512) + 1):
+            h = sum(int(fingerprints.GEAR[data[k - 1 - j]]) << j for j in range(min(32, k))) & 0xFFFFFFFF
+            if h >> (25 if k - at <= 96 else 27) == 0:
+                end = k
+                break
+        end = end or min(len(data), at + 512)
+        found[xxhash.xxh3_64_digest(data[at:end])] = end - at
+        at = end
+    if at < len(data):
+        found[xxhash.xxh3_64_digest(data[at:])] = len(data) - at
+    return found
+
+
+def test_fingerprints_by_a_plain_restatement(spark):
+    texts = [prose(n, n) for n in (1, 5, 20, 150, 400)] + ["é" * 700, "a" * 33, ""]
+    rows = [(None if k == 2 else k, t, "x", 9) for k, t in enumerate(texts)] + [(3, texts[4], "y", 9)]
+    got = fingerprints.with_next(frame(spark, rows, "doc_id long, text string, fingerprint string, n_chars int")).collect()
+    order = sorted(((d is None, d or 0, t) for d, t, _, _ in rows))
+    assert len(got) == len(rows)
+    by = {(r.doc_id, r.n_chars): r for r in got}
+    for k, (_, d, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][2]
+        half = len(t) // 2
+        new = t[: len(t) - half] + after[:half]
+        a, b, c = (plain_chunks(x.encode()) for x in (t, new, after))
+        like = lambda p, q: (sum(n for h, n in p.items() if h in q) / sum(p.values())) if p else float(not q)
+        r = by[(None if order[k][0] else d, len(t))]
+        assert (r.edited_sha256, r.near_edited, r.near_next) == (hashlib.sha256(new.encode()).hexdigest(), like(a, b), like(a, c))
+        assert fingerprints.parse(r.fingerprint) == a
+
+
 def test_chunks_cover_the_text_and_survive_an_insertion():
     t = prose(3000, 1)
     a, b = fingerprints.chunk_set(t), fingerprints.chunk_set("inserted words " + t)

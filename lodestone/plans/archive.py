@@ -90,9 +90,9 @@ def s07(spark, d):
     return ar.parse_index(index_lines(spark, d), "2010-01-01")[0]
 
 
-@query("s08_index_refusals", """SELECT CASE l_orderkey % 3 WHEN 0 THEN 'future_date' WHEN 1 THEN 'bad_date' ELSE 'field_count' END AS reason, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+@query("s07_refused_lines", """SELECT CASE l_orderkey % 3 WHEN 0 THEN 'future_date' WHEN 1 THEN 'bad_date' ELSE 'field_count' END AS reason, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey
     WHERE l_linenumber = 1 AND l_orderkey % 7 = 0 GROUP BY 1""")
-def s08(spark, d):
+def s07_refused(spark, d):
     return ar.parse_index(index_lines(spark, d), "2010-01-01")[1].groupBy("reason").agg(F.count("*").alias("n"))
 
 

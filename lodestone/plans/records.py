@@ -239,3 +239,61 @@ def k16(spark, d):
     """Codes with a kind and a padded number; a number of zeros alone is null."""
     number = F.nullif(F.regexp_extract("c_name", "#0*([0-9]*)$", 1), F.lit(""))
     return scan(spark, d, "customer").select("c_custkey", F.trim(F.regexp_extract("c_name", "^([^#]*)#", 1)).alias("kind"), number.cast("long").alias("number"))
+
+
+@query("k07_schedule", """SELECT s::DATE AS session, s + INTERVAL 810 MINUTE AS opened, s + INTERVAL 20 HOUR AS closed FROM (SELECT unnest(generate_series(min(o_orderdate::DATE), max(o_orderdate::DATE), INTERVAL 1 DAY)) AS s FROM orders)
+    WHERE isodow(s) <= 5 AND strftime(s, '%m-%d') NOT IN ('01-01', '07-04', '12-25')""")
+def k07(spark, d):
+    """Sessions of the span of the orders: weekdays but for fixed holidays, from 13:30 to 20:00."""
+    span = scan(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b")).filter("a is not null")
+    days = span.select(F.explode(F.sequence("a", "b")).alias("session"))
+    open_days = days.filter((F.weekday("session") < 5) & ~F.date_format("session", "MM-dd").isin("01-01", "07-04", "12-25"))
+    at = lambda minutes: F.col("session").cast("timestamp_ntz") + F.expr(f"interval {minutes} minutes")
+    return open_days.select("session", at(810).alias("opened"), at(1200).alias("closed"))
+
+
+@query("g15_closure", """SELECT c_nationkey, count(DISTINCT c_custkey) AS inventory, count(DISTINCT o_custkey) AS units, count(DISTINCT o_custkey) FILTER (open_orders = 0) AS closed FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'P') AS open_orders FROM orders GROUP BY 1) ON o_custkey = c_custkey GROUP BY 1""")
+def g15(spark, d):
+    """Of each nation's customers those with orders, and those of them without one in progress."""
+    units = scan(spark, d, "orders").groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "P").alias("open_orders"))
+    j = scan(spark, d, "customer").join(units, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return j.groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("inventory"), F.count("o_custkey").alias("units"), F.count_if(F.col("open_orders") == 0).alias("closed"))
+
+
+@query("g19_listing_state", """WITH s AS (SELECT l_partkey, min(l_shipdate) AS a, max(l_shipdate) AS b, count(DISTINCT l_suppkey) AS venues FROM lineitem GROUP BY 1)
+    SELECT p_partkey, CASE WHEN a IS NULL THEN 'unlisted' WHEN a > TIMESTAMP '1999-01-01' THEN 'not_yet' WHEN b < TIMESTAMP '2001-06-01' THEN 'delisted' ELSE 'listed' END AS state,
+    concat_ws('+', CASE WHEN a IS NULL THEN 'no_history' END, CASE WHEN date_diff('day', a, b) < 365 THEN 'short_history' END, CASE WHEN venues < 2 THEN 'one_venue' END) AS refusal FROM part LEFT JOIN s ON l_partkey = p_partkey""")
+def g19(spark, d):
+    """Parts as instruments: the state of their listing, and why they can't be compared."""
+    s = scan(spark, d, "lineitem").groupBy("l_partkey").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"), F.count_distinct("l_suppkey").alias("venues"))
+    j = scan(spark, d, "part").join(s, F.col("l_partkey") == F.col("p_partkey"), "left")
+    rules = [("unlisted", F.col("a").isNull()), ("not_yet", F.col("a") > F.expr("timestamp_ntz'1999-01-01'")), ("delisted", F.col("b") < F.expr("timestamp_ntz'2001-06-01'"))]
+    why = rc.reasons(no_history=F.col("a").isNull(), short_history=F.date_diff("b", "a") < 365, one_venue=F.col("venues") < 2)
+    return m.ladder(j, rules, "state").fillna("listed", ["state"]).select("p_partkey", "state", why.alias("refusal"))
+
+
+@query("p07_sightings", """SELECT user_id, event_type, min((ts, event_id))[2] AS first_id, max((ts, event_id))[2] AS last_id, count(*) AS sightings FROM events GROUP BY 1, 2""")
+def p07(spark, d):
+    """The first and the last sighting of each key are kept, and how many there were."""
+    at = F.struct("ts", "event_id")
+    g = scan(spark, d, "events").groupBy("user_id", "event_type").agg(F.min(at).alias("a"), F.max(at).alias("b"), F.count("*").alias("sightings"))
+    return g.select("user_id", "event_type", F.col("a.event_id").alias("first_id"), F.col("b.event_id").alias("last_id"), "sightings")
+
+
+@query("x37_operations", """SELECT o_orderpriority, max((o_orderdate, o_orderkey))[2] AS latest, max(o_orderdate)::DATE AS latest_on, count(*) FILTER (o_orderstatus = 'F') AS finished, count(*) FILTER (o_orderstatus = 'O') AS opened, count(*) FILTER (o_orderstatus = 'P') AS pending FROM orders GROUP BY 1""")
+def x37(spark, d):
+    """The latest cycle of each source, and how many are in which state."""
+    states = [F.count_if(F.col("o_orderstatus") == k).alias(n) for k, n in (("F", "finished"), ("O", "opened"), ("P", "pending"))]
+    g = scan(spark, d, "orders").groupBy("o_orderpriority").agg(F.max(F.struct("o_orderdate", "o_orderkey")).alias("m"), *states)
+    return g.select("o_orderpriority", F.col("m.o_orderkey").alias("latest"), F.to_date("m.o_orderdate").alias("latest_on"), "finished", "opened", "pending")
+
+
+@query("x57_review_currency", """WITH r AS (SELECT l_orderkey, sha256(string_agg(l_partkey::VARCHAR || ':' || l_returnflag, ',' ORDER BY l_partkey::VARCHAR || ':' || l_returnflag)) AS now, sha256(string_agg(l_partkey::VARCHAR || ':' || l_returnflag, ',' ORDER BY l_partkey::VARCHAR || ':' || l_returnflag) FILTER (l_shipdate < TIMESTAMP '2000-01-01')) AS bound FROM lineitem GROUP BY 1)
+    SELECT l_orderkey, CASE WHEN bound IS NULL THEN 'unreviewed' WHEN bound = now THEN 'current' ELSE 'outdated' END AS state FROM r""")
+def x57(spark, d):
+    """A review of an order's lines binds the digest of those shipped before 2000; it is current while the recomputed digest is that."""
+    item = F.concat_ws(":", F.col("l_partkey").cast("string"), "l_returnflag")
+    digest = lambda rows: F.sha2(F.array_join(F.array_sort(rows), ","), 256)
+    g = scan(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("now"), F.collect_list(F.when(F.col("l_shipdate") < F.expr("timestamp_ntz'2000-01-01'"), item)).alias("bound"))
+    state = F.when(F.size("bound") == 0, "unreviewed").when(digest("bound") == digest("now"), "current").otherwise("outdated")
+    return g.select("l_orderkey", state.alias("state"))

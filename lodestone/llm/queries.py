@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, suffix_dedup, warc
+from lodestone.llm import decontaminate, embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, suffix_dedup, warc
 from lodestone.llm._common import table
 
 
@@ -63,8 +63,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op5_suffix_dedup, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op5_suffix_dedup, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints, op11_decontaminate)}
 
 
 #: DuckDB's statement of an operator's whole result, where SQL can express it.
@@ -94,5 +98,24 @@ ORACLE["op4_ngram_join"] = """
 """
 
 
+#: Words of a text in SQL: A-Z in lower case, letters, digits and whatever isn't ASCII.
+SQL_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+ORACLE["op11_decontaminate"] = f"""
+    WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+    i AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
+    iw AS (SELECT DISTINCT item_id, l, array_to_string(w[s:s + l - 1], ' ') AS k
+           FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM i WHERE len(w) > 0)),
+    dw AS (SELECT doc_id, l, s, array_to_string(w[s:s + l - 1], ' ') AS k
+           FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM d, (SELECT DISTINCT l FROM iw) WHERE len(w) >= l)),
+    h AS (SELECT doc_id, s, l, item_id FROM dw JOIN iw USING (l, k)),
+    n AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM h) GROUP BY 1),
+    m AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY 1)
+    SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, coalesce(m.n, 0)::BIGINT AS n_items,
+           sha256(coalesce(m.ids, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, secrets, suffix_dedup, warc
+from lodestone.llm import decontaminate, embeddings, extract, fingerprints, langid, mixing, ngram_join, packing, ranked, resample, secrets, suffix_dedup, warc
 from lodestone.llm._common import table
 
 
@@ -67,8 +67,17 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighed = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return weighed.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op5_suffix_dedup, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints, op11_decontaminate)}
+    return {f.__name__: f for f in (op1_extract, op2_embeddings, op3_mixing, op4_ngram_join, op5_suffix_dedup, op6_warc, op7_secrets, op8_language, op9_packing, op10_fingerprints, op11_decontaminate, op12_resample, op13_ranked)}
 
 
 #: DuckDB's statement of an operator's whole result, where SQL can express it.
@@ -117,5 +126,40 @@ ORACLE["op11_decontaminate"] = f"""
 """
 
 
+ORACLE["op12_resample"] = f"""
+    WITH words AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents UNION ALL SELECT NULL, {SQL_WORDS} FROM benchmark),
+    runs AS (SELECT doc_id, len(w) AS n_words, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM words),
+    each AS (SELECT doc_id, unnest(f) AS f FROM runs),
+    bits AS (SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS bit FROM range(256) t(k)),
+    bytes AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM each)),
+    numbers AS (SELECT f, list_transform(range(1, len(h), 2), lambda i: (strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1) AS b FROM bytes),
+    crc AS (SELECT f, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, bit[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM numbers, bits),
+    cells AS (SELECT doc_id, bucket, count(*) AS n FROM each JOIN crc USING (f) GROUP BY 1, 2),
+    sums AS (SELECT bucket, coalesce(sum(n) FILTER (doc_id IS NOT NULL), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (doc_id IS NULL), 0)::DOUBLE AS t FROM cells GROUP BY 1),
+    gain AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000) / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))))::BIGINT AS g FROM sums),
+    weighed AS (SELECT doc_id, sum(n)::BIGINT AS n, sum(n * g)::BIGINT AS g FROM cells JOIN gain USING (bucket) WHERE doc_id IS NOT NULL GROUP BY 1),
+    hashed AS (SELECT doc_id, n_words, coalesce(n, 0) AS n_features,
+                      CASE WHEN n IS NULL THEN 0 ELSE (g - ((g % n) + n) % n) // n END AS weight, sha256('7:' || doc_id)[1:8] AS h
+               FROM runs LEFT JOIN weighed USING (doc_id) WHERE doc_id IS NOT NULL),
+    noisy AS (SELECT *, list_reduce(list_prepend(0, list_transform(range(1, 9), lambda i: strpos('0123456789abcdef', h[i]) - 1)), lambda a, x: a * 16 + x) AS v FROM hashed),
+    scored AS (SELECT *, weight + floor(-1000 * ln(-ln((v + 0.5) / 4294967296)))::BIGINT AS score FROM noisy),
+    ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 25 * count(*) OVER () // 100 AS k FROM scored WHERE n_words >= 20)
+    SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN r <= k THEN r END::BIGINT AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+ORACLE["op13_ranked"] = f"""
+    WITH tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest({SQL_WORDS}) AS t FROM documents) GROUP BY 1, 2),
+    n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY 1),
+    total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+    m AS (SELECT doc_id, 100 - 75 + ((75 * n * docs) // terms) AS m FROM n, total),
+    w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), total),
+    q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({SQL_WORDS}) AS t FROM benchmark) GROUP BY 1, 2),
+    s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN w USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY 1, 2)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -53,45 +53,48 @@ def _names(schema: str) -> list[str]:
     return [x.split(" ")[0] for x in schema.split(", ")]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, ids, sizes, at, counts, held = {}, [], [], [], [], 0
-
-    def block() -> pa.RecordBatch:
-        """Postings of this block by term (in the order of their bytes) and document."""
-        names = sorted(known)
-        rank = np.empty(len(names), np.int64)
-        rank[[known[t] for t in names]] = np.arange(len(names))
-        term = rank[np.concatenate(at)] if at else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(at)), [len(x) for x in at])
-        order = np.argsort(term, kind="stable")
-        ends = np.cumsum(np.bincount(term, minlength=len(names)))
-        packed = [np.array(sizes, "<i8"), len(ids), sum(sizes), b" ".join(names), ends.astype("<i8"), doc[order].astype("<i4"), np.concatenate(counts)[order].astype("<i4") if at else np.zeros(0, "<i4")]
-        return _batch([ids, *(x.tobytes() if isinstance(x, np.ndarray) else x for x in packed)], _names(BLOCK))
-
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = terms_of(text.as_py())
-            if not found:
-                continue
-            for t in set(found).difference(known):
-                known[t] = len(known)
-            own, n = np.unique(np.fromiter(map(known.__getitem__, found), np.int64, len(found)), return_counts=True)
-            ids.append(doc_id)
-            sizes.append(len(found))
-            at.append(own)
-            counts.append(n)
-            held += len(found)
-            if held >= BLOCK_TERMS:
-                yield block()
-                known, ids, sizes, at, counts, held = {}, [], [], [], [], 0
-    if ids:
-        yield block()
-    released()
-
-
-def term_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _count(block_terms: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ids, sizes, at, counts, held = {}, [], [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            """Postings of this block by term (in the order of their bytes) and document."""
+            names = sorted(known)
+            rank = np.empty(len(names), np.int64)
+            rank[[known[t] for t in names]] = np.arange(len(names))
+            term = rank[np.concatenate(at)] if at else np.zeros(0, np.int64)
+            doc = np.repeat(np.arange(len(at)), [len(x) for x in at])
+            order = np.argsort(term, kind="stable")
+            ends = np.cumsum(np.bincount(term, minlength=len(names)))
+            packed = [np.array(sizes, "<i8"), len(ids), sum(sizes), b" ".join(names), ends.astype("<i8"), doc[order].astype("<i4"), np.concatenate(counts)[order].astype("<i4") if at else np.zeros(0, "<i4")]
+            return _batch([ids, *(x.tobytes() if isinstance(x, np.ndarray) else x for x in packed)], _names(BLOCK))
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = terms_of(text.as_py())
+                if not found:
+                    continue
+                for t in set(found).difference(known):
+                    known[t] = len(known)
+                own, n = np.unique(np.fromiter(map(known.__getitem__, found), np.int64, len(found)), return_counts=True)
+                ids.append(doc_id)
+                sizes.append(len(found))
+                at.append(own)
+                counts.append(n)
+                held += len(found)
+                if held >= block_terms:
+                    yield block()
+                    known, ids, sizes, at, counts, held = {}, [], [], [], [], 0
+        if ids:
+            yield block()
+        released()
+
+    return run
+
+
+def term_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """Blocks of the documents (those with a term), as a stored table."""
-    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_count, BLOCK), "term_blocks")
+    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_count(block_terms), BLOCK), "term_blocks")
 
 
 def _numbers(batch: pa.RecordBatch, k: int, column: str, kind: str) -> np.ndarray:
@@ -237,31 +240,31 @@ def term_weight(n: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1)))
 
 
-def _groups(items: DataFrame) -> Iterator[list[Row]]:
+def _groups(items: DataFrame, queries: int) -> Iterator[list[Row]]:
     group, size = [], 0
     for r in items.toLocalIterator():
         group.append(r)
         size += len(r["text"] or "")
-        if len(group) >= QUERIES or size >= QUERY_CHARACTERS:
+        if len(group) >= queries or size >= QUERY_CHARACTERS:
             yield group
             group, size = [], 0
     if group:
         yield group
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, k: int = 10, block_terms: int = BLOCK_TERMS, queries: int = QUERIES) -> DataFrame:
     """For each item (item_id, text) its k best documents of docs (doc_id, text): item_id, rank (from 1), doc_id, score."""
     spark: SparkSession = docs.sparkSession
     asked = stored(items.select(F.monotonically_increasing_id().alias("query"), "item_id", F.col("text").cast("string").alias("text")), "queries")
-    blocks = term_blocks(docs)
+    blocks = term_blocks(docs, block_terms=block_terms)
     index, n = impact_index(blocks)
     parts = []
-    for group in _groups(asked.select("query", "text")):
+    for group in _groups(asked.select("query", "text"), queries):
         counted = [(r["query"], Counter(terms_of(r["text"]))) for r in group]
         holding = document_frequencies(blocks, {t for _, c in counted for t in c})
         weigh = {t: term_weight(n, df) for t, df in holding.items()}
-        queries = [(q, ws) for q, c in counted if (ws := {t: m * weigh[t] for t, m in c.items() if weigh.get(t, 0) > 0})]
-        parts.append(stored(index.mapInArrow(_search(queries, k), "query bigint, doc_id bigint, score bigint"), "found"))
+        weighed = [(q, ws) for q, c in counted if (ws := {t: m * weigh[t] for t, m in c.items() if weigh.get(t, 0) > 0})]
+        parts.append(stored(index.mapInArrow(_search(weighed, k), "query bigint, doc_id bigint, score bigint"), "found"))
     found = spark.createDataFrame([], "query bigint, doc_id bigint, score bigint")
     for part in parts:
         found = found.unionByName(part)

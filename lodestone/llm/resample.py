@@ -33,7 +33,7 @@ from lodestone.llm._common import forget, partitions, released, stored
 
 #: Buckets of features, the least words of a document that may be drawn, per cent drawn, and the seed.
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
-#: Cells after which a block ends, bytes of text after which one is counted, remembered words, and bytes of a word in the lookups.
+#: Cells (and 8 a document) after which a block ends, remembered words, and bytes of a word in the lookups.
 BLOCK_CELLS, REMEMBERED, TABLE_BYTES = 1 << 18, 1 << 18, 48
 
 #: Of a text's UTF-8 bytes: A-Z in lower case, ASCII other than letters and digits as spaces.
@@ -92,36 +92,39 @@ class Hasher:
 CSR = "doc_ids array<bigint>, n_words array<bigint>, ends binary, columns binary, counts binary"
 
 
-def _csr(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, ids, sizes, columns, counts, cells = Hasher(), [], [], [], [], 0
+def _csr(block_cells: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, ids, sizes, columns, counts, cells = Hasher(), [], [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            ends = np.cumsum([len(c) for c in columns]).astype("<i8")
+            made = [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
+            made += [pa.array([b], pa.binary()) for b in (ends.tobytes(), np.concatenate(columns).astype("<u2").tobytes(), np.concatenate(counts).astype("<u4").tobytes())]
+            return pa.RecordBatch.from_arrays(made, names=["doc_ids", "n_words", "ends", "columns", "counts"])
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                n, found = hasher.buckets(text.as_py() or "")
+                held = np.bincount(found, minlength=BUCKETS)
+                at = np.flatnonzero(held)
+                ids.append(doc_id)
+                sizes.append(n)
+                columns.append(at)
+                counts.append(held[at])
+                cells += len(at) + 8
+                if cells >= block_cells:
+                    yield block()
+                    ids, sizes, columns, counts, cells = [], [], [], [], 0
+        if ids:
+            yield block()
+        released()
+
+    return run
 
-    def block() -> pa.RecordBatch:
-        ends = np.cumsum([len(c) for c in columns]).astype("<i8")
-        made = [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))]
-        made += [pa.array([b], pa.binary()) for b in (ends.tobytes(), np.concatenate(columns).astype("<u2").tobytes(), np.concatenate(counts).astype("<u4").tobytes())]
-        return pa.RecordBatch.from_arrays(made, names=["doc_ids", "n_words", "ends", "columns", "counts"])
 
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            n, found = hasher.buckets(text.as_py() or "")
-            held = np.bincount(found, minlength=BUCKETS)
-            at = np.flatnonzero(held)
-            ids.append(doc_id)
-            sizes.append(n)
-            columns.append(at)
-            counts.append(held[at])
-            cells += len(at) + 8
-            if cells >= BLOCK_CELLS:
-                yield block()
-                ids, sizes, columns, counts, cells = [], [], [], [], 0
-    if ids:
-        yield block()
-    released()
-
-
-def csr_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def csr_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_cells: int = BLOCK_CELLS) -> DataFrame:
     """The matrix of docs: a row for each block of documents (little-endian numbers; ends are of the rows' cells)."""
-    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_csr, CSR), "csr")
+    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_csr(block_cells), CSR), "csr")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, np.ndarray, np.ndarray, np.ndarray]]:
@@ -193,9 +196,9 @@ def drawn(scored: DataFrame, least_words: int = LEAST_WORDS, percent: int = PERC
     return out.select(*scored.columns, F.when((F.col("n_words") >= least_words) & (rank <= most), rank).alias("rank"))
 
 
-def resample(docs: DataFrame, target: DataFrame, seed: int = SEED, least_words: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
+def resample(docs: DataFrame, target: DataFrame, seed: int = SEED, least_words: int = LEAST_WORDS, percent: int = PERCENT, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """docs (doc_id, text) weighed towards target (text): doc_id, n_words, n_features, weight, score and rank of every document."""
-    blocks = csr_blocks(docs)
+    blocks = csr_blocks(docs, block_cells=block_cells)
     aimed = csr_blocks(target.select(F.lit(None).cast("bigint").alias("doc_id"), "text"))
     by_bucket = gains(column_sums(blocks), column_sums(aimed))
     scored = stored(weights(blocks, by_bucket, seed), "scored")

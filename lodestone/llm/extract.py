@@ -7,7 +7,8 @@ and votes, in two ways:
 * for one path as its article's: from the body down, always into the child that holds most of the text, with a lower bar for
   `article` and `main`, until a container has prose of its own or no child has most; the vote weighs as much as the text;
 * for or against every suspect, a container whose class or id has a word that often names boilerplate: the word itself
-  speaks against it, links too; a heading, whole sentences or most of the page's text speak for it.
+  speaks against it, links too; a heading, whole sentences or most of the page's text speak for it, and one that holds all of
+  the page's sentences is never against.
 
 Spark sums the votes by host and path, which settles each host's winning paths and its struck ones.  Then each page is
 extracted again: the blocks inside the first winning path that occurs in it, without what the host strikes.  A path
@@ -211,7 +212,8 @@ class Page:
         for k, doubt in enumerate(self.doubt):
             if doubt and not self.never[k]:
                 few_links = links[k] <= 0.3 * chars[k]
-                found[k] = doubt + 3 * (heads[k] > 0) + 2 * (prose[k] > 1 and chars[k] >= 0.5 * chars[0]) + 1.5 * (prose[k] > 0 and few_links) - (not few_links)
+                score = doubt + 3 * (heads[k] > 0) + 2 * (prose[k] > 1 and chars[k] >= 0.5 * chars[0]) + 1.5 * (prose[k] > 0 and few_links) - (not few_links)
+                found[k] = max(score, 0.5) if few_links and 0 < prose[k] == prose[0] else score
         return found
 
     def struck(self, suspects: dict[int, float], verdicts: dict[int, bool] | None = None) -> list[bool]:

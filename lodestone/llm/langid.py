@@ -192,10 +192,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
 
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
     order = Window.partitionBy("lang", "bucket").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    chosen = known.select("doc_id", "lang", bucket.alias("bucket")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= -(-per_language // BUCKETS)).select("doc_id", "lang")
+    chosen = known.select("doc_id", "lang").distinct().select("doc_id", "lang", bucket.alias("bucket")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= -(-per_language // BUCKETS)).select("doc_id", "lang")
     # At most per_language ids of each language: the size of what is broadcast is bounded.
     pieces = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: F.substring(F.col("text"), (F.lit(1) + F.floor(k * F.char_length("text") / WINDOWS)).cast("int"), F.lit(WINDOW)))
-    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", pieces.alias("pieces")).collect()
+    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", pieces.alias("pieces"))
+    # One text for each id and language, however many rows have them.
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("pieces").alias("pieces")).collect()
     sample.sort(key=lambda r: (r["lang"], str(r["doc_id"]), r["pieces"]))
     languages = sorted({r["lang"] for r in sample})
     windows, labels = [], []

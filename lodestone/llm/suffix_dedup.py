@@ -5,7 +5,7 @@ anchor: the 64-byte piece of smallest hash in it, the leftmost of equal ones, wh
 suffixes that begin at anchors (about one in seventy) stand for all of them: equal strings have equal suffix heads (the
 first 64 bytes) at equal offsets.  Each start belongs to one anchor; an anchor's context is the text that its starts' strings cover.
 
-1. Equal texts are collapsed: each is a match of the others as a whole, and one of them is indexed.
+1. Equal texts (by 128 bits of hash) are collapsed: each is a match of the others as a whole, and one of them is indexed.
 2. A task's texts, some 20 MB at a time, are a batch.  Its suffix array is its anchors in the lexicographic order of their
    heads.  Anchors of a batch with equal heads and contexts are matches at once, and only one of them goes on.
 3. Suffixes are dealt by head.  In each partition a family of levels takes in one batch after the other: a batch's sorted heads are
@@ -13,8 +13,8 @@ first 64 bytes) at equal offsets.  Each start belongs to one anchor; an anchor's
    of equally many batches merge, so a head takes part in as many merges as the logarithm of the number of batches.
 4. Of suffixes whose head occurs again, equal contexts are matches as a whole.  Where contexts of one head differ, their bytes are fetched,
    and a suffix array of all their positions, sorted to a depth of LENGTH by doubling, has strings that
-   occur twice as neighbours with a common prefix of LENGTH.  A head with more than SPLIT contexts is compared by the hashes of
-   its strings, spread over all tasks.  All matches of a document are united at last.
+   occur twice as neighbours with a common prefix of LENGTH.  A head with more than SPLIT contexts is compared by 128 bits of hash of
+   each of its strings, spread over all tasks.  All matches of a document are united at last.
 
 Matches are judged on the input; the same document counts, overlaps count, matches never cross documents.  A null text
 is an empty one: nothing is removed.  Equal rows are two documents, whatever their ids; a null doc_id stays null.  Of equal
@@ -40,14 +40,14 @@ SPLIT = 8_000  # contexts of one head that one task compares
 BATCH = 300_000  # suffixes of a batch
 BROADCAST_MB = 32
 BYTES32 = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
-BYTES64 = np.random.default_rng(6).integers(0, 1 << 63, 256, dtype=np.uint64)
+BYTES64, OTHER64 = (np.random.default_rng(k).integers(0, 1 << 63, 256, dtype=np.uint64) for k in (6, 7))
 FACTOR32, FACTOR64 = 0x9E3779B1, 0x9E3779B97F4A7C15
 
 
-def _grams(data: np.ndarray, length: int, wide: bool) -> np.ndarray:
+def _grams(data: np.ndarray, length: int, wide: bool, table: np.ndarray = BYTES64) -> np.ndarray:
     """A hash of the `length` bytes from each position (the last length - 1 positions have none)."""
     kind, factor, mask = (np.uint64, FACTOR64, (1 << 64) - 1) if wide else (np.uint32, FACTOR32, (1 << 32) - 1)
-    block = (BYTES64 if wide else BYTES32)[data]  # of blocks of `size` bytes
+    block = (table if wide else BYTES32)[data]  # of blocks of `size` bytes
     size, out, covered = 1, None, 0
     while True:
         if length & size:
@@ -246,7 +246,7 @@ def _family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """rid, text, asked (p, what, a, b) -> the contexts' bytes, or for split heads the hash of each string in them."""
-    names, kinds = ["p", "rid", "a", "piece", "h"], [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    names, kinds = ["p", "rid", "a", "piece", "h", "h2"], [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
     for part in batches:
         out: list[tuple] = []
         for rid, text, asked in zip(*(c.to_pylist() for c in part.columns), strict=True):
@@ -254,9 +254,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in asked:
                 piece = data[x["a"] : x["b"]]
                 if x["what"] == 1:
-                    out.append((x["p"], rid, x["a"], piece, None))
+                    out.append((x["p"], rid, x["a"], piece, None, None))
                 else:
-                    out += [(0, rid, x["a"] + k, None, h) for k, h in enumerate(_grams(np.frombuffer(piece, np.uint8), LENGTH, True).view(np.int64).tolist())]
+                    both = (_grams(np.frombuffer(piece, np.uint8), LENGTH, True, t).view(np.int64).tolist() for t in (BYTES64, OTHER64))
+                    out += [(0, rid, x["a"] + k, None, *h) for k, h in enumerate(zip(*both, strict=True))]
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
                     out = []
@@ -346,13 +347,13 @@ def repeated_spans(docs: DataFrame, batch: int = BATCH) -> DataFrame:
     packed = docs.select("rid", "text").mapInArrow(_suffixes(parts, batch), RUN).repartitionById(parts, F.col("p"))
     judged = stored(packed.mapInArrow(_family, JUDGED), "contexts")
     asked = stored(judged.filter("what > 0").groupBy("rid").agg(F.collect_list(F.struct("p", "what", "a", "b")).alias("asked")), "asked")
-    texts = _joined_by_rid(docs.select("rid", "text"), asked, "asked", 24, "inner").select("rid", "text", "asked").mapInArrow(_texts, "p int, rid long, a long, piece binary, h long")
+    texts = _joined_by_rid(docs.select("rid", "text"), asked, "asked", 24, "inner").select("rid", "text", "asked").mapInArrow(_texts, "p int, rid long, a long, piece binary, h long, h2 long")
     in_part = texts.filter("piece is not null").repartitionById(parts, F.col("p")).mapInArrow(_strings, "rid long, a long, b long")
     spans = judged.filter("what = 0").select("rid", "a", "b").unionByName(in_part)
     if judged.filter("what = 2").limit(1).count():
-        split = stored(texts.filter("h is not null").select("h", "rid", "a"), "strings")
-        twice = split.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-        spans = spans.unionByName(split.join(twice.select("h"), "h", "left_semi").select("rid", "a", (F.col("a") + LENGTH).alias("b")))
+        split = stored(texts.filter("h is not null").select("h", "h2", "rid", "a"), "strings")
+        twice = split.groupBy("h", "h2").agg(F.count("*").alias("n")).filter("n > 1")
+        spans = spans.unionByName(split.join(twice.select("h", "h2"), ["h", "h2"], "left_semi").select("rid", "a", (F.col("a") + LENGTH).alias("b")))
     return spans
 
 
@@ -370,12 +371,37 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([r[3] for r in rows], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _hashes(text: F.Column) -> tuple[F.Column, F.Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def _identified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with rid, and rid, first and bytes of each text that occurs more than once.
+
+    Texts are told apart by 128 bits: where texts with one first hash have several second ones, the second is their rid.
+    """
+    one, two = _hashes(F.col("text"))
+
+    def repeated(docs: DataFrame) -> DataFrame:
+        found = docs.groupBy("rid").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.octet_length("text")).cast("long").alias("bytes"), F.min("other").alias("low"), F.max("other").alias("high"))
+        return stored(found.filter("n > 1").select("rid", "first", "bytes", (F.col("low") != F.col("high")).alias("clash")), "copies")
+
+    docs = docs.withColumns({"rid": one, "other": two})
+    copies = repeated(docs)
+    clash = copies.filter("clash").select(F.col("rid").alias("clashing"))
+    n = clash.count()
+    if n:
+        docs = docs.join(F.broadcast(clash) if n <= 1_000_000 else clash, F.col("rid") == F.col("clashing"), "left").withColumn("rid", F.when(F.col("clashing").isNull(), F.col("rid")).otherwise(F.col("other"))).drop("clashing")
+        copies = repeated(docs)
+        if copies.filter("clash").limit(1).count():
+            raise RuntimeError("suffix deduplication: different texts have equal hashes")
+    return docs.drop("other"), copies.drop("clash")
+
+
 def deduplicate(docs: DataFrame, batch: int = BATCH) -> DataFrame:
     """doc_id, text -> doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("rid", F.xxhash64("text"))
-    copies = docs.groupBy("rid").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.octet_length("text")).cast("long").alias("bytes")).filter("n > 1").select("rid", "first", "bytes")
-    copies = stored(copies, "copies")
+    docs, copies = _identified(docs)
     near = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
     one = docs.join(near.select("rid", "first", F.lit(True).alias("again")), "rid", "left").filter(F.col("again").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).select("rid", "text")
     spans = repeated_spans(one, batch).unionByName(copies.filter(F.col("bytes") >= LENGTH).select("rid", F.lit(0).cast("long").alias("a"), F.col("bytes").alias("b")))

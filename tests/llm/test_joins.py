@@ -125,6 +125,15 @@ def test_suffix_dedup(spark, monkeypatch, batch, split):
     assert suffix_dedup.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_suffix_dedup_tells_texts_with_one_hash_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+    wanted = sorted(map(repr, suffix_dedup.deduplicate(docs).collect()))
+    monkeypatch.setattr(suffix_dedup, "_hashes", lambda text: (F.length(text).cast("long") % 3, F.xxhash64(text)))
+    assert sorted(map(repr, suffix_dedup.deduplicate(docs).collect())) == wanted
+
+
 def test_index_family_merges_geometrically():
     family = suffix_dedup.IndexFamily()
     for k in range(5):

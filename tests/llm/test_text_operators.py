@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -146,6 +147,15 @@ def test_one_listed_word_of_a_class_takes_no_prose_or_heading(name):
     assert page.text().split("\n") == ["Top" if "header" in name else f"{LONG}.", *[f"{LONG}."] * 3, "Text goes on."]
 
 
+@pytest.mark.parametrize("name", ["legal", "share", "banner", "widget", "newsletter", "alert", "notice", "sidebar-layout"])
+def test_extraction_keeps_a_page_of_one_paragraph(spark, name):
+    rows = [(k, "http://x.example/", f"<html><body><h1>Head {k}</h1><div class='{name}'><p>{LONG} {k}.</p></div></body></html>") for k in range(3)]
+    got = extract.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == [f"Head {k}\n{' '.join(LONG.split())} {k}." for k in range(3)]
+    page = extract.Page(f"<body><div class=post><p>{LONG}.</p></div><div class={name}><p>{LONG} too.</p></div></body>")
+    assert page.text() == " ".join(LONG.split()) + "."
+
+
 def test_extraction_is_linear():
     import time
 
@@ -252,7 +262,8 @@ TRIPLETS = [[44, 30, 26], [41, 33, 26], [47, 28, 25], [38, 35, 27], [36, 34, 30]
 def test_genetic_algorithm_beats_best_fit(spark):
     sizes = sorted((x for t in TRIPLETS for x in t), reverse=True)
     assert sum(sizes) == 1000 and len(packing.best_fit(list(range(30)), sizes, 100)) > 10
-    groups = frame(spark, [(g, sizes) for g in range(3)], "group long, lengths array<int>")
+    seed = packing.as_numbers(packing.best_fit(list(range(30)), sizes, 100), 30)
+    groups = frame(spark, [(g, sizes, seed) for g in range(3)], "group long, lengths array<int>, seed array<long>")
     found = packing.best_packings(groups, 100, islands=3, migrations=6, population=8, generations=150).collect()
     assert len(found) == 3 and min(max(r.numbers) + 1 for r in found) == 10
     for r in found:
@@ -262,7 +273,7 @@ def test_genetic_algorithm_beats_best_fit(spark):
 def test_islands_never_get_worse_and_elites_move():
     r = random.Random(2)
     sizes = [r.randrange(300, 1200) for _ in range(120)]
-    alive = packing.first_packings(sizes, 2048, r, 5)
+    alive = packing.first_packings(sizes, packing.best_fit(list(range(120)), sizes, 2048), 2048, r, 5)
     before = max(packing.quality(b, sizes, 2048) for b in alive)
     after = packing.evolve(sizes, 2048, r, alive, 200)
     assert packing.quality(after[0], sizes, 2048) > before
@@ -271,11 +282,47 @@ def test_islands_never_get_worse_and_elites_move():
 
     # A visitor better than an island's own individuals becomes its elite.
     poor = [[i // 2 for i in range(120)]] * 2
-    row = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([1], pa.int32()), pa.array([sizes], pa.list_(pa.int32())), pa.array([poor], pa.list_(pa.list_(pa.int32()))), pa.array([packing.as_numbers(after[0], 120)], pa.list_(pa.int32()))], names=["group", "island", "lengths", "alive", "visitor"])
+    row = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([1], pa.int32()), pa.array([sizes], pa.list_(pa.int32())), pa.array([None], pa.list_(pa.int64())), pa.array([poor], pa.list_(pa.list_(pa.int32()))), pa.array([packing.as_numbers(after[0], 120)], pa.list_(pa.int32()))], names=["group", "island", "lengths", "seed", "alive", "visitor"])
     (out,) = packing._island(2048, 1, 2, 0)(iter([row]))
     assert out.column(4).to_pylist() == [len(after[0])]
 
 
+def test_best_fit_by_counts():
+    r = random.Random(3)
+    for capacity, most in ((100, 60), (100, 100), (2048, 2048), (30, 7)):
+        for n in (0, 1, 7, 300):
+            sizes = sorted((r.randrange(1, most + 1) for _ in range(n)), reverse=True)
+            runs, bins = packing.best_fit_runs(dict(Counter(sizes)), capacity)
+            load = Counter()
+            for (first, fits, at), end in zip(runs, [*(x[0] for x in runs[1:]), n][: len(runs)], strict=True):
+                for rank in range(first, end):
+                    load[at + (rank - first) // fits] += sizes[rank]
+            assert len(load) == bins == len(packing.best_fit(list(range(n)), sizes, capacity)) and max(load.values(), default=0) <= capacity
+
+
+def test_packing_is_never_worse_than_best_fit(spark):
+    r = random.Random(4)
+    lengths = [r.choice([r.randrange(300, 1200), 700, 700]) for _ in range(1500)]
+    pieces = frame(spark, [(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECES).repartition(5)
+    got = packing.pack(pieces, group=200).collect()
+    assert sorted((x.doc_id, x.length) for x in got) == list(enumerate(lengths))
+    order = sorted(range(1500), key=lambda i: -lengths[i])
+    assert len({x.sequence_id for x in got}) <= len(packing.best_fit(order, lengths, 2048))
+    spans = {}
+    for x in got:
+        spans.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for parts in spans.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 2048
+
+
+def test_packing_of_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack(packing.token_pieces(docs, **tokenizer_files())).select("length", "sequence_id").toPandas()
+    lengths = sorted(got["length"].tolist(), reverse=True)
+    assert got["sequence_id"].nunique() <= len(packing.best_fit(list(range(len(lengths))), lengths, 2048))
+
+
 def test_packing_of_null_and_repeated_ids(spark):
     big = 2**60 + 1
     rows = [(big, "same words"), (big, "same words"), (None, "no id"), (big + 1, "x")]
@@ -297,6 +344,15 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_for_repeated_ids(spark, monkeypatch):
+    """Rows of one id, however many and however different, give one text."""
+    seen = {}
+    monkeypatch.setattr(langid, "fit", lambda windows, labels, languages: seen.update(n=len(windows), languages=languages))
+    rows = [(4, f"{prose(30, k)}", "en") for k in range(400)] + [(5, "le la les un une", "fr")] * 300
+    langid.train(frame(spark, rows, "doc_id long, text string, lang string").repartition(3), per_language=8)
+    assert seen["languages"] in (["en", "fr"], ["en"], ["fr"]) and seen["n"] <= 2 * langid.WINDOWS
+
+
 def test_language_edges(spark):
     net = langid.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), per_language=16)
     rows = [(1, "the house and the river", "a", 7), (1, "the house and the river", "b", 8), (None, "x" * 300_000, "c", 9), (2, "½ ² ① _ 1", "d", 10)]

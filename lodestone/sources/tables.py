@@ -11,11 +11,14 @@ def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars: symbol, session, open, close, volume; first and last line of the day give open and close."""
+    """Daily bars: symbol, session, open, close, volume; first and last line of the day give open and close.
+
+    A line's place and its price in cents are one number, which a hash aggregate can hold (a struct would have to be sorted).
+    """
     line = scan(spark, sf_dir, "lineitem")
-    order = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    order = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).cast("decimal(20,0)") * F.lit(10**12).cast("decimal(13,0)") + F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
     return line.groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"), F.to_date("l_shipdate").alias("session")).agg(
-        F.min_by("l_extendedprice", F.struct(order, "l_extendedprice")).alias("open"), F.max_by("l_extendedprice", F.struct(order, "l_extendedprice")).alias("close"), F.sum("l_quantity").alias("volume")
+        F.min_by("l_extendedprice", order).alias("open"), F.max_by("l_extendedprice", order).alias("close"), F.sum("l_quantity").alias("volume")
     )
 
 

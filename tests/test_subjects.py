@@ -16,6 +16,18 @@ def test_nearest_dates(spark):
     assert got == {(0, 0, "PDUFA_DATE", dt.date(2024, 3, 5)), (1, 24, "PDUFA_DATE", None), (2, 0, "CRL", None), (6, 14, "CRL", dt.date(2024, 1, 31))}
 
 
+def test_days_in_all_forms():
+    cases = {
+        "March 5, 2024": (0, 2024, 3, 5), "MARCH 5th 2024": (0, 2024, 3, 5), "March 5 ,2024": None, "March 5 , 2024": None, "March 5,2024": None, "5 march 2024": (1, 2024, 3, 5), "5th March 2024": None, "2024-03-05": (2, 2024, 3, 5),
+        "2024-3-05": None, "2024 -03-05": None, "March 123, 2024": None, "March 5, 20245": None, "March_5 2024": None, "Marchs 5 2024": None, "5 March, 2024": None, "March 22nd, 2024": (0, 2024, 3, 22), "March": None, "5": None, "2024-03-05x": None,
+    }
+    for text, wanted in cases.items():
+        at = mn._day_at(mn.tokens(text))
+        assert (at and at[:4]) == wanted, text
+    assert mn._days(mn.tokens("31 February 2024, May 1 2024")) == [(18, 0, 28, dt.date(2024, 5, 1))]
+    assert [(t.text, t.start) for t in mn.tokens(" A_b-7é\u00a0.x")] == [("a_b", 1), ("-", 4), ("7é", 5), (".", 8), ("x", 9)]
+
+
 def test_named_subjects(spark):
     symbols, relevance = mn.named_subjects(F.col("t"), {"AB": ["abel corp"], "CD": []})
     texts = ["buy $ab and CD", "CD2 is not it", "CD, AB", "Abel Corp rose", "$ABCDEF", None]

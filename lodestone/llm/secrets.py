@@ -5,7 +5,9 @@ a key are near through it.  Its marginal cost is what a zstandard frame grows by
 the candidate follows its surrounding text, with a dictionary of identifiers as history: fixed words of code, the most
 frequent identifiers of the scanned table itself (a bounded list, counted over all documents; words that mix letters
 and digits inside aren't learnt, so no secret can be, however often it is copied), and the surrounding text.
-Words and identifiers compress against the dictionary; random keys don't.
+Words and identifiers compress against the dictionary; random keys don't.  Names whose digits are all at the end and ids of
+the form of a UUID are no candidates; a slash belongs to a candidate only where the run looks like base 64 (all of upper and
+lower case and digits, few slashes), so the parts of a path or address are judged each on their own.
 
 Rows: one per document.  A null text is an empty one; an empty text has no span and the digest of the empty string.
 Work is linear in a text's length, whatever it holds.  Repeated rows are scanned each on their own, ties of spans go by
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -53,8 +56,13 @@ DICTIONARY = (
     b"get_set_value user_name file_path data_table index_number getElementById toString camelCaseIdentifier snake_case_identifier "
 )
 CONTEXT, LEAST_NOVELTY = 96, 0.55
+LEAST_RUN, SLASH_EVERY = 12, 16
+INSIDE = re.compile(r"[0-9].*[A-Za-z]")
+UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: Identifiers that are learnt from the table at most, and what one looks like: digits only at its end.
-LEARNT, IDENTIFIER = 2048, "^[A-Za-z_]{4,30}[0-9]{0,2}$"
+LEARNT, IDENTIFIER = 2048, re.compile(rb"[A-Za-z_]{4,30}[0-9]{0,2}")
+#: Words that a task counts before it hands its counts on, and what stands between words.
+COUNTED, BETWEEN = 1 << 18, bytes(k if chr(k).isalnum() and k < 128 or k == 95 else 32 for k in range(256))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -70,10 +78,27 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(start, end, KINDS[kind]) for start, kind, end in found]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> identifiers with how often they occur, in parts of a bounded number of words."""
+
+    def part() -> pa.RecordBatch:
+        found = [(w.decode(), n) for w, n in seen.items() if IDENTIFIER.fullmatch(w)]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["w", "n"])
+
+    seen: Counter[bytes] = Counter()
+    for batch in batches:
+        for text in batch.column(0):
+            seen.update((text.as_py() or "").encode("utf-8", "surrogatepass").translate(BETWEEN).split())
+            if len(seen) >= COUNTED:
+                yield part()
+                seen.clear()
+    yield part()
+
+
 def identifiers(docs: DataFrame, most: int = LEARNT) -> bytes:
     """The most frequent identifiers of all texts, rarer ones first (later bytes of a dictionary cost less to name)."""
-    words = docs.select(F.explode(F.split(F.col("text").cast("string"), "[^A-Za-z0-9_]+")).alias("w")).filter(F.col("w").rlike(IDENTIFIER))
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "w").limit(most).collect()
+    words = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_counted, "w string, n long")
+    top = words.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "w").limit(most).collect()
     return " ".join(r["w"] for r in reversed(top)).encode()
 
 
@@ -86,6 +111,24 @@ def novelty(before: bytes, candidate: bytes, after: bytes, learnt: bytes = b"")
     return (len(press.compress(candidate)) - len(press.compress(b""))) / max(1, len(candidate))
 
 
+def _runs(text: str) -> list[tuple[int, int]]:
+    """Where candidates may stand: whole runs, or the parts between slashes of a run that doesn't look like base 64."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        piece = m[0]
+        slashes = piece.count("/")
+        mixed = any(c.isdigit() for c in piece) and any(c.isupper() for c in piece) and any(c.islower() for c in piece)
+        if not slashes or mixed and slashes <= 1 + len(piece) // SLASH_EVERY:
+            found.append(m.span())
+            continue
+        at = m.start()
+        for part in piece.split("/"):
+            if len(part) >= LEAST_RUN:
+                found.append((at, at + len(part)))
+            at += len(part) + 1
+    return found
+
+
 def _near(words: list[int], start: int, end: int) -> bool:
     k = bisect_right(words, start - CONTEXT)
     return k < len(words) and words[k] < end + CONTEXT
@@ -96,14 +139,14 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], learnt: bytes = b"
     words = [m.start() for m in SENSITIVE.finditer(text)]
     if not words:
         return []
-    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    runs = _runs(text)
     secret: dict[int, bool] = {}
 
     def judged(k: int) -> bool:
         if k not in secret:
             start, end = runs[k]
             piece = text[start:end]
-            secret[k] = any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece) and novelty(text[max(0, start - CONTEXT) : start].encode("utf-8", "surrogatepass"), piece.encode(), text[end : end + CONTEXT].encode("utf-8", "surrogatepass"), learnt) >= LEAST_NOVELTY
+            secret[k] = bool(INSIDE.search(piece)) and not UUID.fullmatch(piece) and novelty(text[max(0, start - CONTEXT) : start].encode("utf-8", "surrogatepass"), piece.encode(), text[end : end + CONTEXT].encode("utf-8", "surrogatepass"), learnt) >= LEAST_NOVELTY
         return secret[k]
 
     def adjoin(k: int) -> bool:

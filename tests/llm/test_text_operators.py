@@ -425,6 +425,40 @@ def test_gradients_by_finite_differences():
         assert abs((loss(up) - loss(down)) / (2 * step) - g[name][at]) < 2e-2
 
 
+def test_precision_and_recall_of_novel_spans():
+    """Planted keys beside planted paths, names, versions, ids and hashes that stand near the same words."""
+    r = random.Random(11)
+    base62 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = "user order table config session request handler value index column service manager client server local remote cache page test build".split()
+    lead = ["the auth header is {} here", "bearer {}", "client credential {} follows", "private key {}", "the api key for it is {} now"]
+    name = lambda n: "".join(w.title() for w in r.sample(words, n))
+    clean = [
+        lambda: f"https://{r.choice(words)}.example.com/{r.choice(words)}/{r.choice(words)}/{r.randrange(10**6)}/{r.choice(words)}", lambda: f"com/{'/'.join(r.sample(words, 4))}/e{r.randrange(10**6)}/page", lambda: name(4) + str(r.randrange(3000)),
+        lambda: "_".join(r.sample(words, 4)), lambda: "-".join(r.sample(words, 3)) + f"-{r.randrange(100)}", lambda: f"{r.getrandbits(32):08x}-{r.getrandbits(16):04x}-{r.getrandbits(16):04x}-{r.getrandbits(16):04x}-{r.getrandbits(48):012x}",
+        lambda: f"/usr/local/{r.choice(words)}/{r.choice(words)}{r.randrange(9)}/{r.choice(words)}.py", lambda: f"{name(2)}/{name(3)}/{name(2)}{r.randrange(9)}",
+    ]
+    hits = wrong = total = 0
+    for k in range(400):
+        planted = "".join(r.choice(base62 + "+/" * (k % 2)) for _ in range(r.randrange(16, 60))) if k % 2 else None
+        text = f"{prose(20, k)} {lead[k % 5].format(planted or clean[k // 2 % len(clean)]())} {prose(20, k + 1)}"
+        base, every = secrets.all_spans(text)
+        novel = [text[a:b] for a, b, kind in every if kind == "novel"]
+        total += planted is not None
+        hits += planted in novel if planted else 0
+        wrong += sum(n != planted for n in novel)
+    assert hits / total >= 0.9 and hits / max(1, hits + wrong) >= 0.9
+    for text in ("auth: MyVeryLongClassNameForTesting2024", "the token com/a/b/c/d/e123456/page"):
+        assert not [s for s in secrets.all_spans(text)[1] if s[2] == "novel"]
+
+
+def test_identifiers_are_counted_over_all_texts(spark, monkeypatch):
+    texts = [(prose(50, k) + " some_name and x1y2z3 " * (k % 3),) for k in range(60)] + [(None,), ("",)]
+    wanted = Counter(w for (t,) in texts for w in re.split("[^A-Za-z0-9_]+", t or "") if re.fullmatch("[A-Za-z_]{4,30}[0-9]{0,2}", w))
+    top = [w for w, _ in sorted(wanted.items(), key=lambda x: (-x[1], x[0]))[:40]]
+    docs = frame(spark, texts, "text string").repartition(3)
+    assert secrets.identifiers(docs, 40).decode().split() == top[::-1]
+
+
 def test_novel_secrets_are_masked_whole():
     raw = random.Random(5).randbytes(1900)
     key = base64.b64encode(raw).decode()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.llm._common import small_batches
+from lodestone.llm._common import released, small_batches
 
 WINDOW, HIDDEN, WINDOWS, PER_LANGUAGE, BUCKETS = 96, 8, 8, 768, 256
 STEPS, BATCH, RATE = 400, 192, 0.02
@@ -235,6 +235,7 @@ def _predict(net: Network | None):
                 at = to
             keep = [n for n in batch.schema.names if n not in ("lang_pred", "score")]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+        released()
 
     return run
 

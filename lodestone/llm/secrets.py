@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.llm._common import small_batches
+from lodestone.llm._common import released, small_batches
 
 #: The base kinds in their order, patterns and least lengths (of the group given).
 BASE = (
@@ -93,6 +93,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield part()
                 seen.clear()
     yield part()
+    seen.clear()
+    released()
 
 
 def identifiers(docs: DataFrame, most: int = LEARNT) -> bytes:
@@ -218,6 +220,7 @@ def _scan(with_mask: bool, learnt: bytes):
             made |= {"base_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.string()), "masked_text": pa.array(texts, pa.string())}
             keep = [n for n in batch.schema.names if n not in made and (with_mask or n != "text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in keep), *made.values()], names=[*keep, *made])
+        released()
 
     return run
 

@@ -7,6 +7,7 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.catalog import query
 from lodestone.sources import files, sheets
@@ -79,7 +80,7 @@ def t11(spark, d):
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def workbooks(rows: pd.Series, names: pd.Series) -> pd.Series:
     """A workbook for each list of (key, name, balance, day number): shared strings, numbers and dates, a gap before the dates."""
 

@@ -7,7 +7,9 @@ from lodestone.operators import rules as r
 from lodestone.operators import scopes as sc
 from lodestone.sources.tables import scan
 
-_said = F.array_join(F.transform("violations", lambda v: F.concat_ws("@", v["code"], v["path"])), " ").alias("violations")
+
+def said():
+    return F.array_join(F.transform("violations", lambda v: F.concat_ws("@", v["code"], v["path"])), " ").alias("violations")
 
 
 def exports(spark, d):
@@ -56,7 +58,7 @@ def exports(spark, d):
         CASE WHEN sel AND k % 4 = 0 AND nd > 0 THEN ['evidence_is_not_selected@sections.focus.headline_ids[' || (len(e) - 1) || ']', 'evidence_was_dropped@sections.focus.headline_ids[' || (len(e) - 1) || ']'] ELSE [] END), ' ') AS violations FROM f""")
 def v03(spark, d):
     """Every rule that a customer's export breaks, with its place."""
-    return r.checked(exports(spark, d), r.export_rules()).select("o_custkey", _said)
+    return r.checked(exports(spark, d), r.export_rules()).select("o_custkey", said())
 
 
 @query("v02_profile_rules", r"""WITH s AS (SELECT s_suppkey AS k, s_nationkey AS n FROM supplier), p AS (SELECT k, n, list(l_partkey ORDER BY l_partkey) AS a FROM s JOIN (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_quantity >= 45) ON l_suppkey = k GROUP BY 1, 2),
@@ -81,7 +83,7 @@ def v02(spark, d):
         F.concat(F.lit("P"), k.cast("string")).alias("focus"), F.array(F.struct(F.when(n % 2 == 0, "macro").otherwise("defense").alias("name"), F.array(fund).alias("symbols"))).alias("groups"), F.array(F.struct(F.when(k % 3 == 0, "other").otherwise("growth").alias("name"), F.array(first).alias("symbols"))).alias("baskets"),
         F.array(F.struct(first.alias("physical"), symbol(F.coalesce(F.get("a", F.lit(1)), F.col("a")[0])).alias("paper"), F.lit("x").alias("label"))).alias("pairs"),
     )
-    return r.checked(held, r.profile_rules()).select("s_suppkey", _said)
+    return r.checked(held, r.profile_rules()).select("s_suppkey", said())
 
 
 @query("e07_scope_versions", """WITH v AS (SELECT o_custkey AS s, o_orderkey AS version_id, o_orderdate::DATE AS a, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate::DATE + (o_orderkey % 400 + 30)::INTEGER END AS b, o_orderdate::DATE + (o_orderkey % 60 - 30)::INTEGER AS x, o_orderdate::DATE + (o_orderkey % 60 - 29)::INTEGER AS y, o_orderstatus <> 'P' AS ok FROM orders),

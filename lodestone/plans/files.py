@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.catalog import query
-from lodestone.sources import files, sheets
+from lodestone.sources import files, sheets, tables_html
 from lodestone.sources.scratch import shared_dir
 from lodestone.sources.tables import scan
 
@@ -112,3 +112,20 @@ def s20(spark, d):
     made = named.select(F.concat("n_name", F.lit(".xlsx")).alias("name"), workbooks("rows", "n_name").alias("content"))
     made.write.format("verified_files").option("path", at).mode("append").save()
     return spark.read.format("sheets").option("path", at).load().filter("reason is null").select("file", "sheet", "row", "column", "kind", "value", "day")
+
+
+@query("s17_html_tables", """WITH o AS (SELECT o_custkey, o_orderkey, o_orderstatus AS s, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 7 AS t, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus, o_orderkey) AS row, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) = 1 AS first, printf('%.2f', o_totalprice) AS v FROM orders)
+    SELECT o_custkey, row::INTEGER AS row, s AS status, day AS filed, 'T' || t AS ticker, v AS value, first AS agree FROM o WHERE o_orderkey % 11 <> 0""")
+def s17(spark, d):
+    """A page for each customer: its orders by status, whose cell spans all rows of that status; rows without a ticker are no records."""
+    key = F.col("o_orderkey")
+    ticker = F.when(key % 11 == 0, "").otherwise(F.concat(F.lit("T"), (key % 7).cast("string")))
+    row = F.struct(key.alias("key"), F.format_string("<td>%s</td><td><b>%s</b></td><td>%.2f</td></tr>", F.date_format("o_orderdate", "yyyy-MM-dd"), ticker, "o_totalprice").alias("html"))
+    group = scan(spark, d, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.transform(F.sort_array(F.collect_list(row)), lambda x: x["html"]).alias("rows"))
+    first = F.concat(F.lit("<tr><td rowspan="), F.size("rows").cast("string"), F.lit(">"), "o_orderstatus", F.lit("</td>"))
+    spanned = F.concat(first, F.array_join("rows", "<tr>"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderstatus", spanned.alias("html")))), lambda x: x["html"]), "")
+    pages = group.groupBy("o_custkey").agg(F.concat(F.lit("<html><body><p>Trades</p><table><tr><th>Status<th>Filing&nbsp;Date<th> TICKER <th>Value %</tr>"), body, F.lit("</table></body></html>")).alias("html"))
+    found = tables_html.records(pages, "o_custkey", "ticker", ("filing date", "value"))
+    value = lambda c: F.col("spread")[c]
+    return found.select("o_custkey", "row", value("status").alias("status"), value("filing date").alias("filed"), value("ticker").alias("ticker"), value("value").alias("value"), "agree")

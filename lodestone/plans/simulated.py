@@ -46,24 +46,15 @@ def e01(spark, d):
     return s.select("doc_id", "n", F.col("s.a").alias("start"), F.col("s.b").alias("end"))
 
 
-@query("e08_amounts")
-def e08(spark, d):
-    a = scan(spark, d, "conversations").select("conv_id", "turn", F.explode(t.amount_atoms("text")).alias("x"))
-    return a.select("conv_id", "turn", "x.*")
-
-
-@query("k14_grades")
-def k14(spark, d):
-    return scan(spark, d, "documents").select("doc_id", F.explode(t.grades("text")).alias("g")).select("doc_id", "g.*")
-
-
 @query("k08_title_normalize")
 def k08(spark, d):
     return scan(spark, d, "documents").select("doc_id", t.nfkc_title(F.substring_index("text", "\n", 1)).alias("title"))
 
 
-@query("t01_cursor_advance", """WITH p AS (SELECT event_type AS source, ts::DATE AS start, (ts::DATE + 1)::DATE AS end, count(*) >= 40 AS complete FROM events GROUP BY 1, 2, 3), c AS (SELECT DISTINCT event_type AS source, DATE '2024-01-10' AS w FROM events)
-    SELECT source, greatest(w, coalesce(max(p.end) FILTER (complete AND p.start <= w), w)) AS watermark FROM c LEFT JOIN p USING (source) GROUP BY source, w""")
+@query("t01_cursor_advance", """WITH p AS (SELECT event_type AS source, ts::DATE AS start, (ts::DATE + 1)::DATE AS end, count(*) >= 40 AS complete FROM events GROUP BY 1, 2, 3), c AS (SELECT DISTINCT event_type AS source, DATE '2024-01-10' AS w FROM events),
+    o AS (SELECT *, coalesce(max(p.end) OVER (PARTITION BY source ORDER BY p.start, p.end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), w) AS before FROM c JOIN p USING (source) WHERE complete),
+    g AS (SELECT *, bool_or(start > greatest(w, before)) OVER (PARTITION BY source ORDER BY start, o.end ROWS UNBOUNDED PRECEDING) AS gap FROM o)
+    SELECT source, greatest(w, coalesce(max(g.end) FILTER (NOT gap), w)) AS watermark FROM c LEFT JOIN g USING (source, w) GROUP BY source, w""")
 def t01(spark, d):
     e = scan(spark, d, "events")
     day = F.to_date("ts")

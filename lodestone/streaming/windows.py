@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,7 +48,11 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -
 
 
 def advance_cursors(cursors: DataFrame, proven: DataFrame) -> DataFrame:
-    """Per source the watermark moves only to the end of proven intervals that start at or before it, and never back."""
-    j = cursors.join(proven, "source", "left")
-    reach = F.max(F.when((F.col("complete")) & (F.col("start") <= F.col("watermark")), F.col("end")))
-    return j.groupBy("source", "watermark").agg(reach.alias("r")).select("source", F.greatest("watermark", F.coalesce("r", "watermark")).alias("watermark"))
+    """Per source the watermark moves to the end of the chain of complete intervals that it is in or at the start of, and never back."""
+    whole = cursors.join(proven.filter("complete"), "source")
+    order = Window.partitionBy("source").orderBy("start", "end")  # the proven intervals of one source
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # From the first interval on that starts beyond all before it, nothing joins the chain.
+    gap = F.max(F.col("start") > F.greatest("watermark", "before")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    reach = whole.withColumn("before", before).withColumn("gap", gap).filter("not gap").groupBy("source").agg(F.max("end").alias("r"))
+    return cursors.join(reach, "source", "left").select("source", F.greatest("watermark", "r").alias("watermark"))

@@ -71,18 +71,28 @@ def record_id(section: str, *keys: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", F.lit(section), *parts), 256), 1, 16)
 
 
-def domain(url: Column) -> Column:
-    """The host in lower case, without www., m. and port."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/?#]*)", 1)), r":\d+$", ""), r"^(www|m)\.", "")
+def domain(url: Column, publishers: tuple[str, ...] = ()) -> Column:
+    """The host in lower case, without www., m. or amp. and port; a publisher's own domain for any host below it."""
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://(?:[^/?#@]*@)?([^/?#]*)", 1)), r":\d+$", ""), r"^(www|m|amp)\.", "")
+    return F.coalesce(*[F.when((host == p) | host.endswith(f".{p}"), F.lit(p)) for p in publishers], host)
 
 
 def canonical_url(url: Column) -> Column:
-    """https, lower-case host, single slashes, no fragment, no tracking parameters, the others sorted."""
-    path = F.regexp_replace(F.regexp_replace(F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1), "/+", "/"), "/$", "")
-    pairs = F.filter(F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&"), lambda p: (p != "") & ~F.substring_index(p, "=", 1).isin(*TRACKING))
-    asked = F.array_join(F.array_sort(pairs), "&")
-    host = F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/?#]*)", 1))
-    return F.when(host != "", F.concat(F.lit("https://"), host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise("")))
+    """Scheme and host in lower case, single slashes, none at the end, no fragment, no tracking parameters, the others by name and value.
+
+    What has no scheme and host stays as it is, trimmed; a blank is NULL.  Of character references &amp; is resolved.
+    """
+    raw = F.trim(F.replace(url, F.lit("&amp;"), F.lit("&")))
+    scheme, host = F.lower(F.regexp_extract(raw, r"^([a-zA-Z][a-zA-Z0-9+.-]*)://", 1)), F.lower(F.regexp_extract(raw, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
+    path = F.regexp_replace(F.regexp_extract(raw, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1), "/+", "/")
+    path = F.when(path == "/", path).otherwise(F.regexp_replace(path, "/$", ""))
+    key = lambda p: F.lower(F.substring_index(p, "=", 1))
+    pairs = F.filter(F.split(F.regexp_extract(raw, r"\?([^#]*)", 1), "&"), lambda p: (p != "") & ~key(p).startswith("utm_") & ~key(p).isin(*TRACKING))
+    sided = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))))
+    ordered = F.array_sort(F.transform(sided, lambda p: F.struct(key(p).alias("k"), F.regexp_replace(p, "^[^=]*=", "").alias("v"), p.alias("p"))))
+    asked = F.array_join(F.transform(ordered, lambda x: x["p"]), "&")
+    whole = F.concat(scheme, F.lit("://"), host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(""))
+    return F.when(raw != "", F.when((scheme != "") & (host != ""), whole).otherwise(raw))
 
 
 def title_key(title: Column) -> Column:

@@ -137,16 +137,31 @@ def k05(spark, d):
     return i.join(y, "user_id").filter("event_type < other").select("user_id", "event_type", "other", s.interval_order(F.col("a"), F.col("b"), F.col("c"), F.col("e")).alias("state"))
 
 
-@query("f15_canonical_url", """WITH u AS (SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS h, regexp_replace(regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+', '/', 'g'), '/$', '') AS p,
-    array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ('utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'ref', 'fbclid', 'gclid'))), '&') AS q FROM pages)
-    SELECT page_id, CASE WHEN h <> '' THEN 'https://' || h || p || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS url FROM u""")
+#: Page addresses as they come: upper-case schemes, ports, fragments, doubled slashes, campaign tags, and some that are none.
+_COME = ["{u}", "HTTP://User@WWW.{h}:8080//{p}//?b=2&UTM_Source=x&a=1&A=0&c#top", "https://m.{h}/?fbclid=1&amp;z=&y=3", "https://amp.{h}", "{h}/{p}", "  ", "https://news.{h}/{p}/?utm_term=q#x"]
+_COME_SQL = """raw AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) AS h, url FROM pages),
+    come AS (SELECT page_id, CASE page_id % 7 WHEN 0 THEN url WHEN 1 THEN 'HTTP://User@WWW.' || h || ':8080//p' || page_id || '//?b=2&UTM_Source=x&a=1&A=0&c#top' WHEN 2 THEN 'https://m.' || h || '/?fbclid=1&amp;z=&y=3' WHEN 3 THEN 'https://amp.' || h WHEN 4 THEN h || '/p' || page_id WHEN 5 THEN '  ' ELSE 'https://news.' || h || '/p' || page_id || '/?utm_term=q#x' END AS url FROM raw)"""
+
+
+def _addresses(spark, d):
+    host = F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1)
+    text = F.get(F.array(*map(F.lit, _COME)), (F.col("page_id") % 7).cast("int"))
+    text = F.replace(F.replace(F.replace(text, F.lit("{u}"), F.col("url")), F.lit("{h}"), host), F.lit("{p}"), F.concat(F.lit("p"), F.col("page_id").cast("string")))
+    return scan(spark, d, "pages").select("page_id", text.alias("url"))
+
+
+@query("f15_canonical_url", f"""WITH {_COME_SQL}, u AS (SELECT page_id, trim(url) AS raw, lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) AS s, lower(regexp_extract(url, '^[a-zA-Z]+://(?:[^/?#@]*@)?([^/?#]*)', 1)) AS h, regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+', '/', 'g') AS p,
+        list_transform(list_filter(string_split(regexp_extract(replace(url, '&amp;', '&'), '\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_') AND lower(split_part(x, '=', 1)) NOT IN ('ref', 'fbclid', 'gclid')), lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END) AS q FROM come),
+    o AS (SELECT *, array_to_string(list_transform(list_sort(list_transform(q, lambda x: {{'k': lower(split_part(x, '=', 1)), 'v': regexp_replace(x, '^[^=]*=', ''), 'p': x}})), lambda x: x.p), '&') AS asked FROM u)
+    SELECT page_id, CASE WHEN raw = '' THEN NULL WHEN h = '' THEN raw ELSE s || '://' || h || CASE WHEN p = '/' THEN p ELSE regexp_replace(p, '/$', '') END || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END END AS url FROM o""")
 def f15(spark, d):
-    return scan(spark, d, "pages").select("page_id", s.canonical_url(F.col("url")).alias("url"))
+    return _addresses(spark, d).select("page_id", s.canonical_url(F.col("url")).alias("url"))
 
 
-@query("k09_domain", "SELECT regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)), ':\\d+$', ''), '^(www|m)\\.', '') AS domain, count(*) AS n FROM pages GROUP BY 1")
+@query("k09_domain", f"""WITH {_COME_SQL}, d AS (SELECT regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://(?:[^/?#@]*@)?([^/?#]*)', 1)), ':\\d+$', ''), '^(www|m|amp)\\.', '') AS h FROM come)
+    SELECT CASE WHEN h = 'example.org' OR ends_with(h, '.example.org') THEN 'example.org' ELSE h END AS domain, count(*) AS n FROM d GROUP BY 1""")
 def k09(spark, d):
-    return scan(spark, d, "pages").groupBy(s.domain(F.col("url")).alias("domain")).agg(F.count("*").alias("n"))
+    return _addresses(spark, d).groupBy(s.domain(F.col("url"), ("example.org",)).alias("domain")).agg(F.count("*").alias("n"))
 
 
 @query("f04_finite_price", f"WITH {BARS_SQL} SELECT symbol, count(CASE WHEN close - 50000 > 0 THEN 1 END) AS priced, count(*) AS n FROM bars GROUP BY 1")

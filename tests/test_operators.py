@@ -102,7 +102,7 @@ def test_times_and_urls(spark):
     rows = [("2024-01-02T03:04:05Z", "HTTP://WWW.A.com:80//x//?utm_source=f&b=2&a=1#t"), ("2024-01-02T03:04:05+02:00", "nonsense"), ("2024-01-02T03:04:05", None), ("1700000000", "http://m.b.org/"), ("12", "x"), ("rubbish", "x"), (None, "x")]
     got = spark.createDataFrame(rows, "t string, u string").select(scalars.to_utc(F.col("t")).cast("string").alias("t"), scalars.canonical_url(F.col("u")).alias("u"), scalars.domain(F.col("u")).alias("d")).collect()
     assert [r.t for r in got] == ["2024-01-02 03:04:05", "2024-01-02 01:04:05", "2024-01-02 00:00:00", "2023-11-14 22:13:20", None, None, None]
-    assert got[0].u == "https://www.a.com:80/x?a=1&b=2" and got[0].d == "a.com" and got[1].u is None and got[3].d == "b.org"
+    assert got[0].u == "http://www.a.com:80/x?a=1&b=2" and got[0].d == "a.com" and got[1].u == "nonsense" and got[2].u is None and got[3].u == "http://m.b.org/" and got[3].d == "b.org"
 
 
 def test_sentences():

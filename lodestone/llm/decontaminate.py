@@ -32,7 +32,7 @@ WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words in a window; a phrase of fewer is one window.
 WIDTH = 10
-#: A stored table of at most so many rows (of a few numbers each) is told to all tasks; a larger one is shuffled.
+#: A stored table of at most so many rows of a few numbers each, or phrases of so many words in all, is told to all tasks; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -63,9 +63,10 @@ def build(docs: DataFrame) -> Index:
     return Index(tokens, stored(postings, "postings"))
 
 
-def near(df: DataFrame, rows: int = 0) -> DataFrame:
-    """A stored table, told to all tasks if it is small."""
-    return F.broadcast(df) if (rows or df.count()) <= BROADCAST_ROWS else df
+def near(df: DataFrame, array: str | None = None, wide: int = 1) -> DataFrame:
+    """A stored table, told to all tasks if it is small: by its rows (each as wide as so many plain ones), or by the elements of an array."""
+    size = df.agg(F.coalesce(F.sum(F.size(array)), F.lit(0))).first()[0] if array else df.count()
+    return F.broadcast(df) if size * wide <= BROADCAST_ROWS else df
 
 
 def phrases(items: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,13 +106,17 @@ def candidates(index: Index, live: DataFrame) -> DataFrame:
     there = lists.select(F.col("term").alias("term2"), "num", "pos")
     both = asked.join(there, ["num", "pos", "term2"], "left_semi")
     columns = ["phrase", "num", "diagonal", "low", "high"]
-    return stored(alone.select(columns).union(both.select(columns)).groupBy("phrase", "num", "diagonal").agg(F.min("low").alias("low"), F.max("high").alias("high")), "candidates")
+    found = stored(alone.select(columns).union(both.select(columns)).groupBy("phrase", "num", "diagonal").agg(F.min("low").alias("low"), F.max("high").alias("high")), "candidates")
+    for used in (lists, rare, ends):
+        forget(used)
+    return found
 
 
 def phrase_matches(index: Index, different: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Maximal exact matches of a window's length or more: phrase, num, and start and stop (exclusive) in the document's words."""
-    found = candidates(index, windows(index, different, width))
-    asked = found.join(near(different), "phrase").select("phrase", "num", "diagonal", F.size("terms").alias("size"), F.explode(F.transform(F.sequence("low", "high"), lambda j: F.struct(j.alias("at"), F.col("terms")[j].alias("term")))).alias("x"))
+    """Maximal exact matches of a window's length or more, as a stored table: phrase, num, and start and stop (exclusive) in the document's words."""
+    live = windows(index, different, width)
+    found = candidates(index, live)
+    asked = found.join(near(different, "terms"), "phrase").select("phrase", "num", "diagonal", F.size("terms").alias("size"), F.explode(F.transform(F.sequence("low", "high"), lambda j: F.struct(j.alias("at"), F.col("terms")[j].alias("term")))).alias("x"))
     asked = asked.select("phrase", "num", "diagonal", "size", "x.at", "x.term", (F.col("diagonal") + F.col("x.at")).alias("pos"))
     left = stored(found.select("num").distinct(), "left")
     terms = stored(different.select(F.explode("terms").alias("term")).distinct(), "terms")
@@ -121,13 +126,16 @@ def phrase_matches(index: Index, different: DataFrame, width: int = WIDTH) -> Da
     diagonal = Window.partitionBy("phrase", "num", "diagonal")
     runs = stands.withColumn("run", F.col("at") - F.row_number().over(diagonal.orderBy("at")))
     runs = runs.groupBy("phrase", "num", "diagonal", "run", "size").agg(F.min("pos").alias("start"), (F.max("pos") + 1).alias("stop"))
-    return runs.filter(F.col("stop") - F.col("start") >= F.least(F.col("size"), F.lit(width))).select("phrase", "num", "start", "stop")
+    matches = stored(runs.filter(F.col("stop") - F.col("start") >= F.least(F.col("size"), F.lit(width))).select("phrase", "num", "start", "stop"), "matches")
+    for used in (live, found, left, terms):
+        forget(used)
+    return matches
 
 
 def proximity_matches(index: Index, different: DataFrame, width: int = WIDTH, slop: int = 15) -> DataFrame:
     """phrase, num, first and pos: all words of the phrase's window at first stand within slop positions of pos, where its rarest word is, in any order."""
     live = windows(index, different, width)
-    others = live.join(near(different), "phrase").select("phrase", "first", "term", F.explode(F.array_distinct(F.slice("terms", F.col("first") + 1, F.col("length")))).alias("other")).filter("other <> term").select("phrase", "first", "other")
+    others = live.join(near(different, "terms"), "phrase").select("phrase", "first", "term", F.explode(F.array_distinct(F.slice("terms", F.col("first") + 1, F.col("length")))).alias("other")).filter("other <> term").select("phrase", "first", "other")
     found = index.postings.join(near(live), "term").select("phrase", "first", "num", "pos", "term2", "term")
     size = others.groupBy("phrase", "first").agg(F.count("*").alias("n_others"))
 
@@ -160,13 +168,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated."""
     index = build(docs)
     different, holders = phrases(items)
-    matches = stored(phrase_matches(index, different, width), "matches")
+    matches = phrase_matches(index, different, width)
     named = matches.select("num", "phrase").distinct().join(holders, "phrase").groupBy("num").agg(F.array_sort(F.collect_set("item")).alias("items"))
     hits = stored(covered(matches).join(named, "num").select("num", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")), "hits")
     n_hit = F.coalesce("n_hit", F.lit(0))
-    out = index.tokens.select("num", "doc_id", "n_words").join(near(hits), "num", "left")
+    out = index.tokens.select("num", "doc_id", "n_words").join(near(hits, wide=8), "num", "left")
     out = out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
     out = stored(out, "decontaminated")
+    for used in (matches, hits):
+        forget(used)
     index.drop()
     return out
 

@@ -3,6 +3,7 @@
 Features are runs of one and of two consecutive words, joined by a space; a feature's bucket is the CRC-32 of its UTF-8
 bytes modulo BUCKETS.  Counts are stored as blocks of rows in compressed sparse row form (csr_blocks), each of at most
 BLOCK_CELLS cells and one document more, so memory is bounded whatever a task reads; a document has at most BUCKETS cells.
+Row groups and Arrow batches hold GROUP_BLOCKS blocks, so what writers and readers hold doesn't grow with the table either.
 Column sums of the blocks, added up per task and then by Spark, are the two distributions; the gain of a bucket is the
 floored 1000-fold log ratio of its smoothed shares; a matrix-vector product of each block with the gains gives weights.
 
@@ -29,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm._common import forget, partitions, released, stored
+from lodestone.llm._common import batches_of, forget, partitions, released, stored
 
 #: Buckets of features, the least words of a document that may be drawn, per cent drawn, and the seed.
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Cells (and 8 a document) after which a block ends, remembered words, and bytes of a word in the lookups.
 BLOCK_CELLS, REMEMBERED, TABLE_BYTES = 1 << 18, 1 << 18, 48
+#: Texts a batch, and blocks (of some megabytes each) a row group of the stored matrix and a batch that a task reads.
+TEXTS, GROUP_BLOCKS = 512, 4
 
 #: Of a text's UTF-8 bytes: A-Z in lower case, ASCII other than letters and digits as spaces.
 FOLD = bytes(k + 32 if 65 <= k <= 90 else k if 48 <= k <= 57 or 97 <= k <= 122 or k >= 128 else 32 for k in range(256))
@@ -124,7 +127,8 @@ def _csr(block_cells: int):
 
 def csr_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_cells: int = BLOCK_CELLS) -> DataFrame:
     """The matrix of docs: a row for each block of documents (little-endian numbers; ends are of the rows' cells)."""
-    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_csr(block_cells), CSR), "csr")
+    with batches_of(docs.sparkSession, TEXTS):
+        return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_csr(block_cells), CSR), "csr", GROUP_BLOCKS)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, np.ndarray, np.ndarray, np.ndarray]]:
@@ -140,13 +144,15 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(total, columns, counts)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
+    released()
 
 
 def column_sums(blocks: DataFrame) -> np.ndarray:
     """Of each bucket; one number for each of BUCKETS buckets comes to the driver, whatever the input's size."""
     out = np.zeros(BUCKETS, np.int64)
-    for r in blocks.mapInArrow(_sums, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
+    with batches_of(blocks.sparkSession, GROUP_BLOCKS):
+        for r in blocks.mapInArrow(_sums, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+            out[r["bucket"]] = r["n"]
     return out
 
 
@@ -171,13 +177,15 @@ def _weigh(by_bucket: np.ndarray, seed: int):
             score = weight + np.array([_noise(seed, d) for d in ids], np.int64)
             made = [pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (sizes, n, weight, score))]
             yield pa.RecordBatch.from_arrays(made, names=["doc_id", "n_words", "n_features", "weight", "score"])
+        released()
 
     return run
 
 
 def weights(blocks: DataFrame, by_bucket: np.ndarray, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, n_words, n_features, weight and score."""
-    return blocks.mapInArrow(_weigh(by_bucket, seed), "doc_id bigint, n_words bigint, n_features bigint, weight bigint, score bigint")
+    """One row per document, as a stored table: doc_id, n_words, n_features, weight and score."""
+    with batches_of(blocks.sparkSession, GROUP_BLOCKS):
+        return stored(blocks.mapInArrow(_weigh(by_bucket, seed), "doc_id bigint, n_words bigint, n_features bigint, weight bigint, score bigint"), "scored")
 
 
 def drawn(scored: DataFrame, least_words: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -201,7 +209,7 @@ def resample(docs: DataFrame, target: DataFrame, seed: int = SEED, least_words:
     blocks = csr_blocks(docs, block_cells=block_cells)
     aimed = csr_blocks(target.select(F.lit(None).cast("bigint").alias("doc_id"), "text"))
     by_bucket = gains(column_sums(blocks), column_sums(aimed))
-    scored = stored(weights(blocks, by_bucket, seed), "scored")
+    scored = weights(blocks, by_bucket, seed)
     for held in (blocks, aimed):
         forget(held)
     return drawn(scored, least_words, percent)

@@ -1,5 +1,6 @@
 """Decontamination, resampling and ranked search against plain Python."""
 
+import glob
 import hashlib
 import math
 import random
@@ -8,6 +9,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from lodestone.llm import decontaminate, ranked, resample
@@ -135,6 +138,28 @@ def test_resample(spark, cells):
     assert {r[5]: r[:5] for r in got if r[5] is not None} == {k: x for x, ks in ranks.items() for k in ks}
 
 
+def group_rows(blocks):
+    """The rows of each row group of a stored table."""
+    files = [pq.ParquetFile(f) for f in glob.glob(blocks._stored_path.removeprefix("file://") + "/*.parquet")]
+    return [f.metadata.row_group(k).num_rows for f in files for k in range(f.metadata.num_row_groups)]
+
+
+def test_blocks_of_the_matrix_are_written_and_read_by_few(spark, monkeypatch):
+    docs, items = corpus()
+    blocks = resample.csr_blocks(frames(spark, docs, items)[0].coalesce(1), block_cells=1)
+    assert sum(group_rows(blocks)) == len(docs) and max(group_rows(blocks)) <= resample.GROUP_BLOCKS
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32()), pa.array([b.num_rows])], names=["bucket", "n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(resample, "_sums", sizes)
+    rows = resample.column_sums(blocks)
+    assert rows.sum() == len(docs) and np.flatnonzero(rows).max() <= resample.GROUP_BLOCKS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_resample_empty(spark):
     docs, items = corpus()
     d, i = frames(spark, docs, items)

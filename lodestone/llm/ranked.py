@@ -3,7 +3,8 @@
 The corpus is cut into blocks of documents (term_blocks): a block's own dictionary and, term by term, its documents and
 counts.  Corpus figures (documents and words with at least one term) are sums over the blocks.  impact_index then orders
 every term's postings by their exact impact, highest first: documents of one impact are one segment.  Both are stored
-tables of blocks, each of about BLOCK_TERMS words and one document more, so a task's memory doesn't grow with the corpus.
+tables of blocks, each of about BLOCK_TERMS words and one document more, with GROUP_BLOCKS of them in a row group and in an
+Arrow batch, so the memory of a task, its reader and its writer doesn't grow with the corpus.
 
 A query runs over every block.  In a block each term has a cursor, whose segment promises at most its weight times that
 segment's impact.  Rounds take the segments whose promise is at least a part of the highest one and add it to their
@@ -28,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm._common import forget, released, stored
-from lodestone.llm.resample import FOLD
+from lodestone.llm._common import batches_of, forget, released, stored
+from lodestone.llm.resample import FOLD, TEXTS
 
 #: Words after which a block ends, and queries and characters after which a group of queries does.
 BLOCK_TERMS, QUERIES, QUERY_CHARACTERS = 1 << 19, 4096, 8 << 20
+#: Blocks (of some megabytes each) a row group of a stored table and a batch that a task reads.
+GROUP_BLOCKS = 2
 #: A round takes segments that promise at least this part of the highest promise.
 PART = 0.7
 
@@ -94,7 +97,8 @@ def _count(block_terms: int):
 
 def term_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """Blocks of the documents (those with a term), as a stored table."""
-    return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_count(block_terms), BLOCK), "term_blocks")
+    with batches_of(docs.sparkSession, TEXTS):
+        return stored(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(_count(block_terms), BLOCK), "term_blocks", GROUP_BLOCKS)
 
 
 def _numbers(batch: pa.RecordBatch, k: int, column: str, kind: str) -> np.ndarray:
@@ -126,7 +130,8 @@ def impact_index(blocks: DataFrame) -> tuple[DataFrame, int]:
     total = blocks.agg(F.sum("n_docs").alias("n"), F.sum("words").alias("w")).first()
     n, n_words = total["n"] or 0, total["w"] or 0
     held = blocks.select("doc_ids", "n_docs", "n_terms", "terms", "ends", "docs", "counts")
-    return stored(held.mapInArrow(_impacts(n, n_words), INDEX), "impacts"), n
+    with batches_of(blocks.sparkSession, GROUP_BLOCKS):
+        return stored(held.mapInArrow(_impacts(n, n_words), INDEX), "impacts", GROUP_BLOCKS), n
 
 
 def _holding(wanted: set[bytes]):
@@ -139,13 +144,15 @@ def _holding(wanted: set[bytes]):
                     if t in wanted:
                         total[t] += n
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
+        released()
 
     return run
 
 
 def document_frequencies(blocks: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
     """How many documents hold each of the terms of a group of queries; at most as many rows as these are."""
-    rows = blocks.select("terms", "ends").mapInArrow(_holding(wanted), "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    with batches_of(blocks.sparkSession, GROUP_BLOCKS):
+        rows = blocks.select("terms", "ends").mapInArrow(_holding(wanted), "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
     return {bytes(r["term"]): r["n"] for r in rows}
 
 
@@ -264,7 +271,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, block_terms: int = BL
         holding = document_frequencies(blocks, {t for _, c in counted for t in c})
         weigh = {t: term_weight(n, df) for t, df in holding.items()}
         weighed = [(q, ws) for q, c in counted if (ws := {t: m * weigh[t] for t, m in c.items() if weigh.get(t, 0) > 0})]
-        parts.append(stored(index.mapInArrow(_search(weighed, k), "query bigint, doc_id bigint, score bigint"), "found"))
+        with batches_of(spark, GROUP_BLOCKS):
+            parts.append(stored(index.mapInArrow(_search(weighed, k), "query bigint, doc_id bigint, score bigint"), "found"))
     found = spark.createDataFrame([], "query bigint, doc_id bigint, score bigint")
     for part in parts:
         found = found.unionByName(part)

@@ -195,6 +195,14 @@ def test_ranked(spark, terms, queries):
     assert sorted(map(repr, got)) == sorted(map(repr, scores(docs, items)))
 
 
+def test_blocks_of_the_index_are_written_by_few(spark):
+    docs, items = corpus()
+    blocks = ranked.term_blocks(frames(spark, docs, items)[0].coalesce(1), block_terms=1)
+    index, n = ranked.impact_index(blocks)
+    for held in (blocks, index):
+        assert sum(group_rows(held)) == n and max(group_rows(held)) <= ranked.GROUP_BLOCKS
+
+
 def test_ranked_empty(spark):
     docs, items = corpus()
     d, i = frames(spark, docs, items)

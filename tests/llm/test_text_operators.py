@@ -270,6 +270,19 @@ def test_genetic_algorithm_beats_best_fit(spark):
         assert all(sum(sizes[i] for i in b) <= 100 for b in packing.as_bins(r.numbers))
 
 
+def test_islands_go_on_while_they_get_better(spark):
+    """With the operator's own parameters; after three generations a round, two bins remain that needn't."""
+    r = random.Random(5)
+    sizes = [[r.randrange(300, 1200) for _ in range(300)] for _ in range(2)]
+    first = [packing.best_fit(sorted(range(300), key=lambda i: -s[i]), s, 2048) for s in sizes]
+    assert [len(b) for b in first] == [113, 113]
+    rows = [(g, s, packing.as_numbers(b, 300)) for g, (s, b) in enumerate(zip(sizes, first, strict=True))]
+    found = packing.best_packings(frame(spark, rows, "group long, lengths array<int>, seed array<long>")).collect()
+    for x in found:
+        bins = packing.as_bins(x.numbers)
+        assert len(bins) <= 111 and all(sum(sizes[x.group][i] for i in b) <= 2048 for b in bins)
+
+
 def test_islands_never_get_worse_and_elites_move():
     r = random.Random(2)
     sizes = [r.randrange(300, 1200) for _ in range(120)]

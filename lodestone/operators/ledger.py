@@ -60,10 +60,15 @@ def outcomes(signals: DataFrame, bars: DataFrame, members: list[str], horizons:
 
 
 def cell(rows: DataFrame, keys: list[str], least: int = 20) -> DataFrame:
-    """Two-level statistics: means within (symbol, entry) clusters, then over clusters; NULL below `least` clusters."""
-    signed = F.when(F.col("direction") == "short", -F.col("ret")).otherwise(F.col("ret"))
+    """Two-level statistics: means within (symbol, entry) clusters, then over clusters; NULL below `least` clusters.
+
+    A cluster is a hit by the sign of its sum, which is exact: gains and losses that cancel are no hit in whatever order they come.
+    """
+    signed = F.when(F.col("direction") == "none", F.lit(None)).when(F.col("direction") == "short", -F.col("ret")).when(F.col("direction").isNotNull(), F.col("ret"))
+    exact = signed.try_cast("decimal(38,20)")
+    side = F.coalesce(F.when(F.count(exact) == F.count(signed), F.try_sum(exact).cast("double")), F.sum(signed))
     filled = rows.filter("ret is not null")
-    clusters = filled.groupBy(*keys, "symbol", "entry").agg(F.avg("ret").alias("_r"), F.avg(F.when(F.col("direction") != "none", signed)).alias("_s"), F.count("*").alias("_n"))
+    clusters = filled.groupBy(*keys, "symbol", "entry").agg(F.avg("ret").alias("_r"), side.alias("_s"), F.count("*").alias("_n"))
     gate = lambda c, n=F.col("n_clusters"): F.when(n >= least, c)
     out = clusters.groupBy(*keys).agg(
         F.sum("_n").alias("n_rows"), F.count("*").alias("n_clusters"), F.count("_s").alias("n_directional"), F.avg("_r").alias("_m"), F.percentile("_r", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),

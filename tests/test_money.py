@@ -30,3 +30,10 @@ def test_grades(spark):
     texts = ["1.5% U3O8, 2 g/t au and 3.0g/t Ag; 4 g/t Cu", "6m @ 7.5 g/t Au over 8 metres of ore, 9 meters grading", "-1 g/t Au 1,5 g/t Au x2 g/t Au 3.1.2 g/t Au", "", None]
     got = [[(g.value, g.unit) for g in r.g] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(money.grades(F.col("t")).alias("g")).collect()]
     assert got == [[(1.5, "%u3o8"), (2.0, "g/tau"), (3.0, "g/tag")], [(6.0, "m@"), (7.5, "g/tau"), (8.0, "metresof"), (9.0, "metersgrading")], [], [], []]
+
+
+def test_each_part_of_a_sentence_is_worked_out_once(spark):
+    """The rules were nested in each other, so that each was searched hundreds of times a sentence."""
+    plan = spark.createDataFrame([("A ceiling of USD 5",)], "t string").select(money.amounts(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gross") < 10 and len(plan) < 60_000
+    assert spark.createDataFrame([(None,)], "t string").select(money.amounts(F.col("t")).alias("x")).collect()[0].x.asDict() == {"reason": None, "atoms": None}

@@ -100,3 +100,63 @@ def test_deliveries_happen_once(spark, tmp_path, point):
     assert got == sorted(f"d{n}" for n in range(16)) and failed == [1]
     box.deliver(spark.createDataFrame([("d3", 1), (None, 2)], "delivery_id string, n int"), 9)  # delivered before, or without an id
     assert box.delivered().filter(F.col("batch") == 9).count() == 0
+
+
+class Held:
+    """A handle without Spark: values, lists and timers of one key."""
+
+    def __init__(self):
+        self.timers, self.calls = [], 0
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def _state(self, name, schema):
+        return State(self)
+
+    getListState = getValueState = _state
+
+
+class State:
+    def __init__(self, handle):
+        self.handle, self.value = handle, None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def put(self, value):
+        self.handle.calls += 1
+        self.value = value
+
+    update = put
+
+    def clear(self):
+        self.value = None
+
+
+class Now:
+    def __init__(self, millis):
+        self.millis, self.getCurrentWatermarkInMs, self.getExpiryTimeInMs = millis, lambda: millis, lambda: millis
+
+
+@pytest.mark.parametrize("processor", [st.AsOf(48, 1), st.Trimmed(20)])
+def test_rows_that_are_due_are_taken_at_once(processor):
+    """A timer for each hour with a row read and wrote all that waited each time."""
+    import pandas as pd
+
+    handle, n = Held(), 500
+    processor.init(handle)
+    base = pd.Timestamp("2024-01-01")
+    rows = pd.DataFrame({"key": "k", "id": [f"e{k}" for k in range(n)], "ts": [base + pd.Timedelta(hours=k) for k in range(n)], "family": "f", "value": 1.0})
+    list(processor.handleInputRows(("k",), iter([rows]), Now(0)))
+    assert len(handle.timers) == 1 and handle.timers[0] == base.value // 10**6 + 3_600_000
+    half = base.value // 10**6 + 250 * 3_600_000
+    fired = Now(half)
+    fired.getExpiryTimeInMs = lambda: handle.timers[0]
+    got = pd.concat(processor.handleExpiredTimer(("k",), fired, fired))
+    assert got["id"].tolist() == [f"e{k}" for k in range(250)] and handle.calls <= 4
+    got = pd.concat(processor.handleExpiredTimer(("k",), Now(half * 2), Now(max(handle.timers))))
+    assert got["id"].tolist() == [f"e{k}" for k in range(250, n)] and handle.calls <= 6

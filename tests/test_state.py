@@ -160,3 +160,14 @@ def test_rows_that_are_due_are_taken_at_once(processor):
     assert got["id"].tolist() == [f"e{k}" for k in range(250)] and handle.calls <= 4
     got = pd.concat(processor.handleExpiredTimer(("k",), Now(half * 2), Now(max(handle.timers))))
     assert got["id"].tolist() == [f"e{k}" for k in range(250, n)] and handle.calls <= 6
+
+
+def test_windows_as_of_slide():
+    """Many rows in one window: counts go along with it, rows of one moment see each other, and the window's first moment is inside."""
+    handle, one = Held(), st.AsOf(1, 1)
+    one.init(handle)
+    hour, n = 3_600_000_000, 30_000
+    due = [(f"e{k:05d}", (k // 2) * 100_000, "ab"[k % 2], 0.0) for k in range(n)] + [("last", (n // 2 - 1) * 100_000 + hour, "c", 0.0)]
+    out, past = one.taken(("k",), [], due, 10**9)
+    assert [r[4] for r in out] == [2 * (k // 2 + 1) for k in range(n)] + [3] and {r[3] for r in out[:-1]} == {"a+b"} and out[-1][3] == "a+b+c"
+    assert past == []

@@ -100,5 +100,4 @@ def e07(spark, d):
     versions = o.select(F.col("o_custkey").alias("subject"), at.alias("version_id"), at.alias("position"), start.alias("valid_from"), F.when(at % 7 != 0, F.date_add(start, (at % 400 + 30).cast("int"))).alias("valid_to"), F.date_add(start, (at % 60 - 30).cast("int")).alias("available_from"), F.date_add(start, (at % 60 - 29).cast("int")).alias("available_to"), (F.col("o_orderstatus") != "P").alias("approved"))
     low = F.to_date("l_shipdate")
     told = scan(spark, d, "lineitem").join(o.select(at.alias("l_orderkey"), "o_custkey"), "l_orderkey").select(F.col("o_custkey").alias("subject"), low.alias("low"), F.date_add(low, F.when(F.col("l_linestatus") == "F", 1).otherwise(31)).alias("high")).distinct()
-    told = told.withColumn("id", F.struct("subject", "low", "high"))
-    return sc.bind_versions(told, versions).select(F.col("subject").alias("o_custkey"), "low", "high", "version_id", "state")
+    return sc.bind_versions(told, versions, key=("subject", "low", "high")).select(F.col("subject").alias("o_custkey"), "low", "high", "version_id", "state")

@@ -118,3 +118,15 @@ def test_versions(spark, days):
     assert {s for s, _ in wanted.values()} == {"bound", "version_ambiguous", "version_unavailable_at_disclosure", "competing_version_review_required", "disclosure_time_unknown"}
     plan = sc.bind_versions(d, v, days)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and plan.count("BroadcastNestedLoopJoin") <= 1  # with the one row of the last day
+
+
+def test_versions_of_long_spans_meet_once(spark):
+    """Stretches are as long as versions are; a pair that shares many of them counts once, and no rows are made distinct for it."""
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(n)
+    v = spark.createDataFrame([("s", "v", 1, day(0), None, day(0), day(0), True), ("s", "w", 2, day(2000), day(2010), day(0), day(0), True)], "subject string, version_id string, position int, valid_from date, valid_to date, available_from date, available_to date, approved boolean")
+    d = spark.createDataFrame([("s", day(10), day(1500)), ("s", day(1990), day(2001)), (None, day(1), day(2))], "subject string, low date, high date")
+    assert sc.stretch_days(v) == 1005
+    for days in (16, None):
+        out = sc.bind_versions(d, v, days, key=("subject", "low", "high"))
+        assert {(x.subject, x.low): (x.state, x.version_id) for x in out.collect()} == {("s", day(10)): ("bound", "v"), ("s", day(1990)): ("version_ambiguous", None), (None, day(1)): ("version_unavailable_at_disclosure", None)}
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # the last day, and each disclosure's versions

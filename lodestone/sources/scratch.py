@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -18,8 +19,18 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lodestone/{uuid.uuid4().hex}"
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets go of the shuffles of plans that nobody holds any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written and read again: short lineage that survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/lodestone/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
